@@ -1,3 +1,10 @@
 """bartide: a PySpark-native analytics engine for market time series."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

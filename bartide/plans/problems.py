@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bartide.operators import timestamps
+from bartide.operators import drift, grid, spikes, timestamps
 from bartide.sources.tables import table
 
 
@@ -12,5 +13,47 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return timestamps.normalise(table(spark, sf, "candle_feed"), table(spark, sf, "feed_source"), ["time", "ingested_at"])
 
 
-QUERIES = {"p2_found": p2_found}
-SQL: dict[str, str] = {}
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_grid(spark, sf).where("missing").select("symbol", "slot_s")
+
+
+def p3_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return grid.regular(table(spark, sf, "candle"), table(spark, sf, "collect_window"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spikes.flag(table(spark, sf, "candle"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return drift.changes(table(spark, sf, "depth_line"), table(spark, sf, "depth_file")).select("file_id", "change_kind", "field_name")
+
+
+def p5_union(spark: SparkSession, sf: str) -> DataFrame:
+    return drift.union_schema(table(spark, sf, "depth_line"))
+
+
+def p5_table(spark: SparkSession, sf: str) -> DataFrame:
+    return drift.consistent(table(spark, sf, "depth_line"), table(spark, sf, "depth_file")).withColumn("other_types", F.to_json("other_types"))
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_grid": p3_grid,
+    "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_union": p5_union,
+    "p5_table": p5_table,
+}
+
+SQL = {
+    "p3_found": """
+        with periods as (
+            select symbol, step_s, unnest(generate_series(epoch_us(start_time), epoch_us(end_time) - 1, step_s * 1000000::bigint)) as p
+            from collect_window),
+        readings as (
+            select symbol, epoch_us(time) as t from candle where time is not null and close is not null and not isnan(close))
+        select g.symbol, g.p // 1000000 as slot_s from periods g
+        where not exists (select 1 from readings r where r.symbol = g.symbol and r.t >= g.p and r.t < g.p + g.step_s * 1000000::bigint)""",
+}
