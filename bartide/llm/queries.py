@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bartide.llm import fusion, incremental
+from bartide.llm import fusion, incremental, mixing, tokens
 from bartide.sources.tables import table
 
 
@@ -29,5 +30,35 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.dedup(index, table(spark, sf, "candle_batch"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_fused": p1_fused, "p1_sources": p1_sources, "p6_found": p6_found}
+def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.encode(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p7_words(spark: SparkSession, sf: str) -> DataFrame:
+    counts = tokens.word_counts(table(spark, sf, "documents"), "text")
+    return counts.select(F.hex("word").alias("word_hex"), "n")
+
+
+def _mix(spark: SparkSession, sf: str) -> mixing.Mix:
+    return mixing.Mix(table(spark, sf, "documents"), table(spark, sf, "mix_target"))
+
+
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return _mix(spark, sf).rows
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return _mix(spark, sf).report()
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_fused": p1_fused,
+    "p1_sources": p1_sources,
+    "p6_found": p6_found,
+    "p7_ids": p7_ids,
+    "p7_words": p7_words,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
+}
 SQL: dict[str, str] = {}
