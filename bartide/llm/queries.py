@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bartide.llm import fusion, incremental, mixing, tokens
+from bartide.llm import fusion, incremental, mixing, sentences, tokens
 from bartide.sources.tables import table
 
 
@@ -51,6 +51,10 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mix(spark, sf).report()
 
 
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return sentences.split(table(spark, sf, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_fused": p1_fused,
@@ -60,5 +64,6 @@ QUERIES = {
     "p7_words": p7_words,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
 }
 SQL: dict[str, str] = {}
