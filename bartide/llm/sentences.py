@@ -128,9 +128,8 @@ def broken(m: Column) -> Column:
     # Closed quotes and brackets that end a sentence: speech after a colon; a bracket that no particle precedes.
     sub(rf"([：:]\s?“[^“”]*+(?<=\x{{e003}})”)(?!\s*+{more})(?=\s*+\S)", "“")
     sub(rf"((?:\A|[^をはがにでのともへや、])（[^（）]*+(?<=\x{{e003}})）)(?!\s*+{more})(?=\s*+\S)", "（")
-    # Thai ends sentences with blanks.
+    # Thai writes without blanks but between sentences.
     sub(rf"([{thai}][^\s{thai}]*+)(?=\s++\S)")
-    m = F.regexp_replace(m, rf"(\s)(?=[{thai}])(?<!{BREAK}\s)", f"{BREAK}$1")
     return m
 
 
