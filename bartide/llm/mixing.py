@@ -147,7 +147,8 @@ class Mix:
         plan(self.sources, block_tokens, total_tokens)
         self.length, self.spark = block_tokens, spark
         chosen = slots(spark, self.sources, block_tokens, seed)
-        self.rows = chosen.join(spans(placed, block_tokens), ["source", "block"]).select("shard", "slot", "source", "block", "use_no", "doc_id", "tok_start", "n_tokens")
+        # Both sides grow with the corpus: neither is ever broadcast.
+        self.rows = chosen.hint("merge").join(spans(placed, block_tokens).hint("merge"), ["source", "block"]).select("shard", "slot", "source", "block", "use_no", "doc_id", "tok_start", "n_tokens")
 
     def report(self) -> DataFrame:
         got = self.rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.max("use_no").alias("most_uses"))
