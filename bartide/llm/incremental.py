@@ -36,6 +36,7 @@ from bartide.session import cut, work_path
 NUMBERS = ("open", "high", "low", "close", "volume")
 RADIUS = {"open": 0.001, "high": 0.001, "low": 0.001, "close": 0.001, "volume": 0.01}
 RADIUS_US, CELL_US, DAY_US = 10_000_000, 60_000_000, 86_400_000_000
+STORED = "id long, key string, us long, open double, high double, low double, close double, volume double, cell long, day int"
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 _PLAIN = "".join(chr(c) for c in range(0x21, 0x7F))
 
@@ -91,7 +92,7 @@ class CellIndex:
         self.filled = True
 
     def candidates(self, probes: DataFrame) -> DataFrame:
-        stored = self.spark.read.parquet(self.path)
+        stored = self.spark.read.schema(STORED).parquet(self.path)
         days = [r.day for r in probes.select("day").distinct().limit(self.most_days + 1).collect()]
         return stored.where(F.col("day").isin(days)) if len(days) <= self.most_days else stored
 

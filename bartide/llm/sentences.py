@@ -153,7 +153,7 @@ def _computed(df: DataFrame, *keep: str, **columns: Column) -> DataFrame:
 
 def message(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, _at (code points before the message), _m (the message, line ends as blanks, without trailers)."""
-    t = F.translate(F.col(text), _BLANKS + UNIT + MASK + SHUT + SHUT_CJK + BREAK, " " * len(_BLANKS) + "?????")
+    t = F.translate(F.col(text), _BLANKS + UNIT + MASK + SHUT + SHUT_CJK + BREAK, " " * len(_BLANKS) + "\ufffd" * 5)
     d = _computed(df, key, _t=t)
     d = _computed(d, key, "_t", _headed=F.col("_t").rlike(_HEADER), _head=F.regexp_extract("_t", _HEADED, 1))
     body = F.when(F.col("_headed") & (F.col("_head") == ""), F.lit("")).otherwise(F.substr(F.col("_t"), F.length("_head") + 1))
