@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def no_nan(c: Column) -> Column:
     """NaN as null, so that comparisons and aggregates treat both alike."""
     return F.when(~F.isnan(c), c)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from bartide.session import work_path
 
-DAY_US, HOUR_US, MIN_US, SEC_US = 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000
+DAY_US, MIN_US, SEC_US = 86_400_000_000, 60_000_000, 1_000_000
 
 #: Minutes east of UTC of zone abbreviations.
 ABBREVIATIONS = {
@@ -54,6 +54,7 @@ _LAYOUTS = [
 ]
 _NUMBER = r"^[+-]?\d{1,20}(?:\.\d{0,12})?(?:E[+]?\d{1,2})?$"
 _SPELLED = r"^(?:19|20)\d{6}(?:\d{4}|\d{6})?$"
+_BLANK_CHARS = " \t\n\r\x0b\x0c\xa0\ufeff\u200b"
 _BLANKS = r"^[\s\x{a0}\x{feff}\x{200b}]+|[\s\x{a0}\x{feff}\x{200b}]+$"
 
 
@@ -66,19 +67,17 @@ def _wall_us(instant_us: Column, zone: Column) -> Column:
     return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(instant_us), zone))
 
 
-def wall_to_instant(wall_us: Column, zone: Column) -> Column:
-    """The one instant at which ``zone``'s clocks show ``wall_us``, else null.
+def with_instant(df: DataFrame, wall: str, zone: str, out: str) -> DataFrame:
+    """Add ``out``: the one instant at which the clocks of ``zone`` show ``wall`` (microseconds), else null.
 
-    The offsets a day before and a day after are the only ones that can hold; a
-    skipped time fits neither, a repeated time fits both at two instants."""
-    early = wall_us - (_wall_us(wall_us - DAY_US, zone) - (wall_us - DAY_US))
-    late = wall_us - (_wall_us(wall_us + DAY_US, zone) - (wall_us + DAY_US))
-    fits_early, fits_late = _wall_us(early, zone) == wall_us, _wall_us(late, zone) == wall_us
-    return (
-        F.when(fits_early & fits_late, F.when(early == late, early))
-        .when(fits_early, early)
-        .when(fits_late, late)
-    )
+    The offsets a day before and a day after are the only ones that can hold. Where they agree, so does the time
+    between; else a skipped time fits neither, and a repeated time fits both at two instants."""
+    w, z = F.col(wall), F.col(zone)
+    df = df.withColumns({"_td_o1": _wall_us(w - DAY_US, z) - (w - DAY_US), "_td_o2": _wall_us(w + DAY_US, z) - (w + DAY_US)})
+    early, late = w - F.col("_td_o1"), w - F.col("_td_o2")
+    fits_early, fits_late = _wall_us(early, z) == w, _wall_us(late, z) == w
+    changing = F.when(fits_early & ~fits_late, early).when(fits_late & ~fits_early, late)
+    return df.withColumn(out, F.when(F.col("_td_o1") == F.col("_td_o2"), early).otherwise(changing)).drop("_td_o1", "_td_o2")
 
 
 def _known_zone(zone: Column) -> Column:
@@ -89,7 +88,7 @@ def _known_zone(zone: Column) -> Column:
 def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> DataFrame:
     """Add ``out``: the instant of column ``raw`` in UTC microseconds, or null."""
     keep = df.columns
-    v = F.upper(F.regexp_replace(F.regexp_replace(F.col(raw), _BLANKS, ""), r"\s+", " "))
+    v = F.upper(F.regexp_replace(F.btrim(F.col(raw), F.lit(_BLANK_CHARS)), r"\s+", " "))
     df = df.withColumn("_td_v", F.when(F.length(raw) <= 200, v))
     layout = F.lit(None).cast("string")
     for pattern, parts in reversed(_LAYOUTS):
@@ -99,44 +98,40 @@ def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> D
     df = df.withColumn("_td_p", F.when(~is_number, F.split(layout, r"\|", -1)))
     part = lambda i: F.get("_td_p", F.lit(i))
     kind = F.when(part(0) == "src", F.col(order)).otherwise(part(0))
+    # Places of year, month and day among the parts, by the order of the layout.
+    places = {"ymd": (1, 2, 3), "dmy": (3, 2, 1), "mdy": (3, 1, 2), "dny": (3, 2, 1), "ndy": (3, 1, 2)}
+    at = F.lit(None).cast("array<int>")
+    for name, ymd in places.items():
+        at = F.when(F.col("_td_kind") == name, F.array(*map(F.lit, ymd))).otherwise(at)
+    df = df.withColumn("_td_kind", kind).withColumn("_td_at", at)
+    piece = lambda i: F.get("_td_p", F.get("_td_at", F.lit(i)))
+    df = df.withColumns({"_td_y": piece(0), "_td_m": piece(1), "_td_d": piece(2).try_cast("int")})
     months = F.array(*map(F.lit, MONTHS))
-
-    def pick(ymd: int, dmy: int, mdy: int, dny: int, ndy: int) -> Column:
-        return (
-            F.when(kind == "ymd", part(ymd)).when(kind == "dmy", part(dmy)).when(kind == "mdy", part(mdy))
-            .when(kind == "dny", part(dny)).when(kind == "ndy", part(ndy))
-        )
-
-    year = pick(1, 3, 3, 3, 3)
-    month = F.when(kind.isin("dny", "ndy"), F.array_position(months, pick(1, 2, 1, 2, 1)).cast("int")).otherwise(pick(2, 2, 1, 2, 1).try_cast("int"))
-    y = F.when(F.length(year) == 2, year.try_cast("int") + 2000).otherwise(year.try_cast("int"))
-    nz = lambda c: F.coalesce(c.try_cast("int"), F.lit(0))
-    df = df.select("*", F.struct(
-        y.alias("y"), month.alias("mo"), pick(3, 1, 2, 1, 2).try_cast("int").alias("d"),
-        nz(part(4)).alias("h"), nz(part(5)).alias("mi"), nz(part(6)).alias("s"),
-        F.rpad(F.substring(F.coalesce(part(7), F.lit("")), 1, 6), 6, "0").try_cast("long").alias("us"),
-        part(8).alias("half"), part(9).alias("z"), part(10).alias("region"),
-    ).alias("_td_c"))
-    c = lambda n: F.col(f"_td_c.{n}")
-    hour = F.when(c("half") == "A", F.when(c("h") == 12, 0).otherwise(c("h"))).when(c("half") == "P", F.when(c("h") == 12, 12).otherwise(c("h") + 12)).otherwise(c("h"))
-    half_ok = F.coalesce(c("half"), F.lit("")).isin("") | c("h").between(1, 12)
-    leap = ((c("y") % 4 == 0) & (c("y") % 100 != 0)) | (c("y") % 400 == 0)
-    days = F.when(c("mo").isin(4, 6, 9, 11), 30).when(c("mo") == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
-    valid = c("y").between(1, 9999) & c("mo").between(1, 12) & (c("d") >= 1) & (c("d") <= days) & (c("h") < 24) & (c("mi") < 60) & (c("s") < 60) & half_ok
-    wall = F.when(valid, F.unix_date(F.make_date(c("y"), c("mo"), c("d"))).cast("long") * DAY_US + hour.cast("long") * HOUR_US + c("mi").cast("long") * MIN_US + c("s").cast("long") * SEC_US + c("us"))
-    df = df.withColumn("_td_wall", wall)
-
-    z = F.regexp_replace(c("z"), "^(GMT|UTC)(?=[+-])", "")
-    offset = F.regexp_extract(z, r"^[+-](\d{1,2}):?(\d{2})?$", 1).try_cast("int") * 60 + F.coalesce(F.regexp_extract(z, r"^[+-](\d{1,2}):?(\d{2})?$", 2).try_cast("int"), F.lit(0))
+    month = F.when(F.col("_td_m").rlike("^[A-Z]"), F.array_position(months, F.col("_td_m")).cast("int")).otherwise(F.col("_td_m").try_cast("int"))
+    year = F.col("_td_y").try_cast("int") + F.when(F.length("_td_y") == 2, 2000).otherwise(0)
+    df = df.withColumns({"_td_mo": month, "_td_yr": year})
+    df = df.withColumn("_td_first", F.when(F.col("_td_mo").between(1, 12) & F.col("_td_yr").between(1, 9999), F.make_date("_td_yr", "_td_mo", F.lit(1))))
+    nz = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
+    micros = F.rpad(F.substring(F.coalesce(part(7), F.lit("")), 1, 6), 6, "0").try_cast("long")
+    df = df.withColumns({"_td_h": nz(4), "_td_mi": nz(5), "_td_s": nz(6), "_td_us": micros, "_td_half": F.coalesce(part(8), F.lit(""))})
+    h, half = F.col("_td_h"), F.col("_td_half")
+    hour = F.when(half == "", h).otherwise(h % 12 + F.when(half == "P", 12).otherwise(0))
+    valid = (F.col("_td_d") >= 1) & (F.col("_td_d") <= F.day(F.last_day("_td_first"))) & (h < 24) & (F.col("_td_mi") < 60) & (F.col("_td_s") < 60) & ((half == "") | h.between(1, 12))
+    day = (F.unix_date("_td_first") + F.col("_td_d") - 1).cast("long")
+    wall = day * DAY_US + (hour * 3600 + F.col("_td_mi") * 60 + F.col("_td_s")).cast("long") * SEC_US + F.col("_td_us")
+    df = df.withColumn("_td_wall", F.when(valid, wall))
+
+    df = df.withColumns({"_td_z": F.regexp_replace(F.coalesce(part(9), F.lit("")), "^(GMT|UTC)(?=[+-])", ""), "_td_in": F.coalesce(part(10), F.lit(""))})
+    z, inside = F.col("_td_z"), F.col("_td_in")
+    digits = F.replace(F.substring(z, 2, 5), F.lit(":"), F.lit(""))
+    offset = F.when(F.length(digits) <= 2, digits.try_cast("int") * 60).otherwise(F.left(digits, F.length(digits) - 2).try_cast("int") * 60 + F.right(digits, F.lit(2)).try_cast("int"))
     named = F.create_map(*[F.lit(x) for kv in ABBREVIATIONS.items() for x in kv])
-    minutes = F.when(z.rlike(r"^[+-]"), F.when(offset <= 18 * 60, F.when(F.startswith(z, F.lit("-")), -offset).otherwise(offset))).otherwise(named[z])
-    df = df.withColumn("_td_min", F.when(F.coalesce(c("z"), F.lit("")) != "", minutes))
+    minutes = F.when(z.rlike("^[+-]"), F.when(offset <= 18 * 60, F.when(F.startswith(z, F.lit("-")), -offset).otherwise(offset))).otherwise(named[z])
     region = F.regexp_extract(F.col(raw), r"\[([^\]]*)\]", 1)
-    df = df.withColumn("_td_zone", _known_zone(F.when(F.coalesce(c("region"), F.lit("")) == "", F.col(zone)).otherwise(region)))
-    from_wall = (
-        F.when(F.coalesce(c("z"), F.lit("")) != "", F.col("_td_wall") - F.col("_td_min").cast("long") * MIN_US)
-        .when(F.col("_td_wall").isNotNull() & F.col("_td_zone").isNotNull(), wall_to_instant(F.col("_td_wall"), F.col("_td_zone")))
-    )
+    df = df.withColumn("_td_min", F.when(z != "", minutes))
+    df = df.withColumn("_td_zone", F.when(z == "", _known_zone(F.when(inside == "", F.col(zone)).otherwise(region))))
+    df = with_instant(df, "_td_wall", "_td_zone", "_td_local")
+    from_wall = F.when(z != "", F.col("_td_wall") - F.col("_td_min").cast("long") * MIN_US).otherwise(F.col("_td_local"))
     n = F.col("_td_n")
     number = F.when(F.abs(n) < 100_000_000_000, F.floor(n * 1_000_000)).when(F.abs(n) < 100_000_000_000_000, F.floor(n * 1000)).when(F.abs(n) < 100_000_000_000_000_000, F.floor(n)).otherwise(F.floor(n / 1000))
     instant = F.when(n.isNotNull(), number.try_cast("long")).otherwise(from_wall)
