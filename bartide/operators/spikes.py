@@ -33,7 +33,7 @@ NORMAL, SPIKE, STUCK, OUT = range(4)
 SCALE = {"close": (1.8, 100.0), "high": (1.3, 100.0), "volume": (0.42, 25.0)}
 #: Chance of entering each state, of leaving stuck, and the least chance that a
 #: normal reading repeats the one before.
-ENTER = {SPIKE: 1e-3, STUCK: 5e-4, OUT: 1e-3}
+ENTER = {SPIKE: 1e-3, STUCK: 2e-3, OUT: 1e-3}
 LEAVE_STUCK, LEAST_REPEAT = 0.05, 0.25
 KEYS = ["symbol", "time", "open", "high", "low", "close", "volume"]
 
