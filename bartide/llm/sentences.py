@@ -129,7 +129,7 @@ def broken(m: Column) -> Column:
     sub(rf"([：:]\s?“[^“”]*+(?<=\x{{e003}})”)(?!\s*+{more})(?=\s*+\S)", "“")
     sub(rf"((?:\A|[^をはがにでのともへや、])（[^（）]*+(?<=\x{{e003}})）)(?!\s*+{more})(?=\s*+\S)", "（")
     # Thai writes without blanks but between sentences.
-    sub(rf"([{thai}][^\s{thai}]*+)(?=\s++\S)")
+    sub(rf"([{thai}][^\s\x{{e000}}{thai}]*+)(?=\s++[^\s\x{{e000}}])")
     return m
 
 

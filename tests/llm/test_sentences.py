@@ -19,6 +19,7 @@ CASES = {
                 ["x", "它打印“没有数据。退出。”然后返回。", "他说：“这样不行！”", "缺口已补齐……但还要检查。", "更小（见第9节。）", "文件a.py。", "see notes.", "读取器跳过v1.2。"]),
     "japanese": ("x\n\n「行がない。終了。」と表示して止まります。欠損を（図16参照。）直す？埋めた（第9回。）fetch_rowsが読む…。", ["x", "「行がない。終了。」と表示して止まります。", "欠損を（図16参照。）直す？", "埋めた（第9回。）", "fetch_rowsが読む…。"]),
     "thai": ("sdk: แก้ช่องว่าง\n\nรุ่น6.0.4ยังใช้ได้ โปรดดูไฟล์a/b.sql\nค่าลดลง The end.", ["sdk: แก้ช่องว่าง", "รุ่น6.0.4ยังใช้ได้", "โปรดดูไฟล์a/b.sql", "ค่าลดลง", "The end."]),
+    "thai list": ("แก้x\n\n* ลบa_b\n* ลบc_d\n\n1. ลบe\n2. ลบf", ["แก้x", "ลบa_b", "ลบc_d", "ลบe", "ลบf"]),
     "hindi and arabic": ("x\n\nडॉ. Nilo ने जाँची। क्यों है? راجع د. Nida هذا الملف. لماذا ٪؟ تم!", ["x", "डॉ. Nilo ने जाँची।", "क्यों है?", "راجع د. Nida هذا الملف.", "لماذا ٪؟", "تم!"]),
     "diff": ("Only this\n\ndiff --git a/x b/x\n+ Not this. Nor this.", ["Only this"]),
     "headers": (HEAD + "    Title here\n\n    One 😀 two. Three\n    four.\n\ndiff --git a/x b/x\n", ["Title here", "One 😀 two.", "Three\n    four."]),
