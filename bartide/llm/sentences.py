@@ -111,7 +111,7 @@ def broken(m: Column) -> Column:
         nonlocal m
         m = _subbed(m, pattern, f"$1{BREAK}", only)
 
-    plain = r"\p{Ll}[\p{Ll}\p{M}'’]*+(?![\p{L}\p{N}_/]|[.\-]\p{L})"  # a word in lower case that isn't a name in code
+    plain = rf"\p{{Ll}}[\p{{Ll}}\p{{M}}'’]*+(?![\p{{L}}\p{{N}}_/]|[.\-][\p{{L}}&&[^{_CJK}]])"  # a word in lower case that isn't a name in code
     name = rf"(?!(?:{EXTENSIONS})(?![A-Za-z0-9_]))[A-Za-z_][A-Za-z0-9_/.\-]*+(?=[{_CJK}])"
     more = rf"[{_MARKS}」』”）】》\"\)\]»\x{{e002}}\x{{e003}}]"
     thai = r"\x{e00}-\x{e7f}"

@@ -15,8 +15,8 @@ CASES = {
     "french and spanish": ("x\n\nPourquoi perd-il 28,8 % ? Il affiche « Erreur. Fin. » et s'arrête ! ¡Ya no se repite! Los EE. UU. el lunes, p. ej. hoy.",
                            ["x", "Pourquoi perd-il 28,8 % ?", "Il affiche « Erreur. Fin. » et s'arrête !", "¡Ya no se repite!", "Los EE. UU. el lunes, p. ej. hoy."]),
     "russian": ("x\n\nПроверено на 3 файлах и т. д. Готово, т. к. данных нет, см. рис. 9. Он печатает «Нет строк. Выход.» и стоп.", ["x", "Проверено на 3 файлах и т. д.", "Готово, т. к. данных нет, см. рис. 9.", "Он печатает «Нет строк. Выход.» и стоп."]),
-    "chinese": ("x\n\n它打印“没有数据。退出。”然后返回。他说：“这样不行！”缺口已补齐……但还要检查。更小（见第9节。）文件a.py。see notes.读取器跳过v1.2。",
-                ["x", "它打印“没有数据。退出。”然后返回。", "他说：“这样不行！”", "缺口已补齐……但还要检查。", "更小（见第9节。）", "文件a.py。", "see notes.", "读取器跳过v1.2。"]),
+    "chinese": ("x\n\n它打印“没有数据。退出。”然后返回。他说：“这样不行！”缺口已补齐……但还要检查。更小（见第9节。）文件a.py。see notes.读取器跳过v1.2。about 3 min. each.模块完成。",
+                ["x", "它打印“没有数据。退出。”然后返回。", "他说：“这样不行！”", "缺口已补齐……但还要检查。", "更小（见第9节。）", "文件a.py。", "see notes.", "读取器跳过v1.2。", "about 3 min. each.", "模块完成。"]),
     "japanese": ("x\n\n「行がない。終了。」と表示して止まります。欠損を（図16参照。）直す？埋めた（第9回。）fetch_rowsが読む…。", ["x", "「行がない。終了。」と表示して止まります。", "欠損を（図16参照。）直す？", "埋めた（第9回。）", "fetch_rowsが読む…。"]),
     "thai": ("sdk: แก้ช่องว่าง\n\nรุ่น6.0.4ยังใช้ได้ โปรดดูไฟล์a/b.sql\nค่าลดลง The end.", ["sdk: แก้ช่องว่าง", "รุ่น6.0.4ยังใช้ได้", "โปรดดูไฟล์a/b.sql", "ค่าลดลง", "The end."]),
     "thai list": ("แก้x\n\n* ลบa_b\n* ลบc_d\n\n1. ลบe\n2. ลบf", ["แก้x", "ลบa_b", "ลบc_d", "ลบe", "ลบf"]),
