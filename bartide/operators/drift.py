@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bartide.session import cut
+
 JSON_TYPES = ("string", "number", "boolean", "array", "object")
 
 #: Words that name the same thing in field names.
@@ -172,7 +174,7 @@ def _compare_rows(batches):
 
 def changes(lines: DataFrame, files: DataFrame, schemas: DataFrame | None = None) -> DataFrame:
     """All changes: file_id, change_kind, field_name, old_name."""
-    schemas = file_schemas(lines) if schemas is None else schemas
+    schemas = cut(file_schemas(lines), "file-schemas") if schemas is None else schemas  # read three times
     fields = F.collect_list(F.struct("key", *[f"n_{t}" for t in JSON_TYPES], "n", "n_time", "n_bool", "n_num", "q", "neg"))
     per_file = files.select("file_id", "feed", "file_seq").join(schemas.groupBy("file_id").agg(F.array_sort(fields).alias("now")), "file_id", "left")
     order = Window.partitionBy("feed").orderBy("file_seq", "file_id")
@@ -220,8 +222,6 @@ def consistent(lines: DataFrame, files: DataFrame, max_fields: int = 2000) -> Da
     ``other_types``: the JSON of values that have no canonical form.
 
     Field names and rename pairs are schema metadata; ``max_fields`` bounds them (beyond it this raises)."""
-    from bartide.session import cut
-
     schemas = cut(file_schemas(lines), "file-schemas")
     pairs = changes(lines, files, schemas).where("change_kind = 'renamed'").groupBy("old_name", "field_name").count()
     stats = schemas.groupBy("key").agg(F.count("*").alias("files"), *[F.sum(c).alias(c) for c in ("n", "n_time", "n_bool", "n_num", "n_string")])

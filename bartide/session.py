@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this engine relies on; a cluster may set the rest.
@@ -41,9 +44,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_PATHS: list[str] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; deleted when the driver's Python ends, as results may be read until then."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _PATHS.append(path)
+    return path
+
+
+@atexit.register
+def _delete_work() -> None:
+    for path in _PATHS:
+        try:
+            if path.startswith(("file:", "/")):
+                shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+            elif (sc := SparkContext._active_spark_context) is not None:
+                p = sc._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session may be gone already
+            return
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
