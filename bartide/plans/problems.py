@@ -14,13 +14,17 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return p3_grid(spark, sf).where("missing").select("symbol", "slot_s")
+    return _grid(spark, sf).where("missing").select("symbol", "slot_s")
 
 
-def p3_grid(spark: SparkSession, sf: str) -> DataFrame:
+def _grid(spark: SparkSession, sf: str) -> DataFrame:
     return grid.regular(table(spark, sf, "candle"), table(spark, sf, "collect_window"))
 
 
+def p3_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return _grid(spark, sf).withColumns({"close": F.round("close", 6), "coverage": F.round("coverage", 6)})
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return spikes.flag(table(spark, sf, "candle"))
 
@@ -48,6 +52,24 @@ QUERIES = {
 }
 
 SQL = {
+    "p3_grid": """
+        with r as (
+            select symbol, epoch_us(time) as t, arg_max(close, bar_id) as v, count(*) as n from candle
+            where time is not null and symbol is not null and close is not null and not isnan(close) group by 1, 2),
+        s as (select *, coalesce(lead(t) over (partition by symbol order by t), 9000000000000000) as nx from r),
+        w as (
+            select window_id, symbol, epoch_us(start_time) as w0, step_s * 1000000::bigint as st,
+                unnest(generate_series(0, (epoch_us(end_time) - epoch_us(start_time) + step_s * 1000000::bigint - 1) // (step_s * 1000000::bigint) - 1)) as k
+            from collect_window),
+        g as (select window_id, symbol, w0 + k * st as p, st from w),
+        o as (
+            select g.window_id, g.symbol, g.p, g.st, s.t, s.v, s.n, case when s.t is null then 0 else greatest(0, least(s.nx, g.p + g.st, s.t + g.st) - greatest(s.t, g.p)) end as l
+            from g left join s on s.symbol = g.symbol and s.t < g.p + g.st and s.nx > g.p),
+        a as (
+            select window_id, symbol, p, st, coalesce(sum(n) filter (t >= p), 0)::bigint as n_readings, coalesce(sum(l), 0) as len, sum(v * l) as area, arg_max(v, t) as known
+            from o group by 1, 2, 3, 4)
+        select window_id, symbol, p // 1000000 as slot_s, n_readings, round(case when len > 0 then area / len else known end, 6) as close,
+            round(len / st, 6) as coverage, n_readings = 0 as missing from a""",
     "p3_found": """
         with periods as (
             select symbol, step_s, unnest(generate_series(epoch_us(start_time), epoch_us(end_time) - 1, step_s * 1000000::bigint)) as p
