@@ -72,6 +72,19 @@ def canonical(rows: DataFrame) -> DataFrame:
     })
 
 
+def lossless() -> Column:
+    """Whether c_number, or c_time, is all that the value of ``canonical(...)`` says: no unit, no zone, no further elements or members, no digits beyond a double's."""
+    kind = F.col("json_type")
+    inner = F.when(kind == "object", F.try_variant_get("v", "$.value", "string")).when(kind == "array", F.try_variant_get("v", "$[0]", "string")).otherwise(F.col("c_text"))
+    alone = F.when(kind == "object", F.size(F.json_object_keys(F.to_json("v"))) == 1).when(kind == "array", F.json_array_length(F.to_json("v")) == 1).otherwise(True)
+    text = F.trim(inner)
+    plain = text.rlike(r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?$")
+    digits = F.length(F.regexp_replace(F.regexp_replace(text, r"[eE].*$", ""), r"^[+-]?[0.]*|\.", ""))
+    exact = (digits <= 15) | F.coalesce(text.try_cast("decimal(38,18)") == F.col("c_number").try_cast("decimal(38,18)"), F.lit(False))
+    local = text.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$")
+    return F.coalesce(alone & ((plain & exact) | local), F.lit(False))
+
+
 def file_schemas(lines: DataFrame) -> DataFrame:
     """One row per (file_id, key): the tagged union of its types, and the evidence on its values."""
     rows = canonical(exploded(lines))
@@ -219,7 +232,8 @@ def _classes(pairs: list[tuple[str, str]], names: list[tuple[str, int]]) -> dict
 
 def consistent(lines: DataFrame, files: DataFrame, max_fields: int = 2000) -> DataFrame:
     """All readable lines in one table of steady schema: line_id, file_id, one canonical column per field, and
-    ``other_types``: the JSON of values that have no canonical form.
+    ``other_types``: the whole JSON of values that have no canonical form, or of which it keeps only a part (the first
+    of a list, a number without its unit).
 
     Field names and rename pairs are schema metadata; ``max_fields`` bounds them (beyond it this raises)."""
     schemas = cut(file_schemas(lines), "file-schemas")
@@ -240,7 +254,7 @@ def consistent(lines: DataFrame, files: DataFrame, max_fields: int = 2000) -> Da
         return lines.select("line_id", "file_id", F.lit(None).cast("map<string,string>").alias("other_types")).where(F.lit(False))
     rows = canonical(exploded(lines))
     mapping = F.create_map(*[F.lit(x) for kv in to.items() for x in kv])
-    rows = rows.withColumn("_c", mapping[F.col("key")])
+    rows = rows.withColumns({"_c": mapping[F.col("key")], "_lossless": lossless()})
     branch = {"time": "c_time", "bool": "c_bool", "number": "c_number", "text": "c_text", "none": "c_text"}
     as_json = F.when(F.col("json_type").isNotNull(), F.to_json("v"))
 
@@ -252,7 +266,8 @@ def consistent(lines: DataFrame, files: DataFrame, max_fields: int = 2000) -> Da
     for kind, c in branch.items():
         names = [n for n, k in kinds.items() if k == kind]
         if names:
-            fits = fits | (F.col("_c").isin(*names) & F.col(c).isNotNull())
+            whole = F.col("_lossless") if kind in ("number", "time") else F.lit(True)
+            fits = fits | (F.col("_c").isin(*names) & F.col(c).isNotNull() & whole)
     other = [n for n, k in kinds.items() if k not in branch]
     if other:
         fits = fits | F.col("_c").isin(*other)

@@ -53,6 +53,19 @@ def test_consistent_table(spark):
     assert t[0]["select"] is True and t[6]["select"] is False and t[12].spread_bps is None and t[12].other_types == {"sprd_bp": '"odd one"'} and len(t[12].symbol) == 100_000
 
 
+def test_consistent_table_keeps_whole_values(spark):
+    plain = rows(depth=lambda i: 1.5 + i, spread=lambda i: 2.5 + i, seen="2025-01-01T00:00:01", seq=5)
+    odd = [
+        {"depth": [11.006, 16.508], "spread": {"value": 3.5, "unit": "bps"}, "seen": "2025-01-01T00:00:01+07:00", "seq": 12345678901234567890},
+        {"depth": [11.006], "spread": {"value": 3.5}, "seen": [1735689601000, 5], "seq": "7"},
+        {"depth": [11.006, None], "spread": "3.5 bps", "seen": 1735689601000, "seq": 0.1},
+        {"depth": [], "spread": " 3.50 ", "seen": None, "seq": 1e300},
+    ]
+    t = drift.consistent(*tables(spark, {"f": [plain, odd]})).orderBy("line_id").collect()[6:]
+    assert [r.depth for r in t] == [11.006, 11.006, 11.006, None] and [r.spread for r in t] == [3.5] * 4
+    assert [{k: json.loads(v) for k, v in r.other_types.items()} for r in t] == [odd[0], {"seen": odd[1]["seen"]}, {"depth": [11.006, None], "spread": "3.5 bps"}, {"depth": []}]
+
+
 def test_union_keeps_alternatives(spark):
     lines, _ = tables(spark, {"f": [rows(x=1, y=[1.5]), rows(x="a", y=[1.5])]})
     got = {(r.field_name, r.json_type): (r.n_values, r.first_file_id, r.last_file_id) for r in drift.union_schema(lines).collect()}
