@@ -238,6 +238,15 @@ def union_by_name(spark, sf):
     return a.unionByName(b, allowMissingColumns=True)
 
 
+@query("""select bar_id as id, symbol, close, null::int as batch_no, volume from candle
+  union all select in_id, symbol, close, batch_no, volume from candle_batch""")
+def union_all_by_name(spark, sf):
+    """Every row of both tables; ``union_by_name`` has those of one source."""
+    a = table(spark, sf, "candle").select(F.col("bar_id").alias("id"), "symbol", "close", "volume")
+    b = table(spark, sf, "candle_batch").select(F.col("in_id").alias("id"), "batch_no", "volume", "close", "symbol")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
 # Merging and matrices.
 
 _HALVES = f"""with {_TICKS}, m as (select symbol, date_trunc('minute', time) as time, seq, price from ticks),

@@ -43,3 +43,9 @@ def test_same_rows(spark, sf, db, name):
 def test_entry(spark, sf):
     assert entry.entry(spark).count() > 0
     assert set(SQL) <= set(entry.queries())
+
+
+def test_union_has_every_row(spark, sf, db):
+    n = db.execute("select (select count(*) from candle) + (select count(*) from candle_batch)").fetchone()[0]
+    df = entry.queries()["union_all_by_name"](spark, sf)
+    assert df.count() == n and df.where("id is null").count() == 0
