@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide import validate
-from bartide.functions.market import epoch_to_time, floor_time
+from bartide.functions.market import add_seconds, epoch_to_time, floor_time
 from bartide.operators import clean, gaps
 from bartide.operators.chunks import epoch_us
 from bartide.registry import Dataset
@@ -65,11 +66,23 @@ def ingest_archives(spark: SparkSession, zips: str, root: str, ds: Dataset, sour
     return _write(_candles(raw, source, ingested_at, ds.floor_s), root, ds)
 
 
-def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_missing: int, context_s: int = 6 * 3600, tag: str = "proxy_fill") -> dict:
-    """Fill gaps of ``ds`` that ``other`` covers completely, volumes scaled by the median ratio around the gap."""
-    columns = ["symbol", "time", *clean.PRICES, "volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume"]
-    rows = gaps.proxy_fill(lake.scan(spark, root, ds, columns=columns), lake.scan(spark, root, other, columns=columns), ds.step_s or 60, most_missing, context_s,
-                           columns[6:], list(clean.PRICES), tag)
+def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_missing: int, context_s: int = 6 * 3600, tag: str = "proxy_fill", ingested_at: str | None = None) -> dict:
+    """Fill gaps of ``ds`` that ``other`` covers completely, volumes and trades scaled by their median ratios around the gap, trades
+    rounded half-even. ``ingested_at``: of the fill (now, if not given). Columns that a side lacks are null there."""
+    step = ds.step_s or 60
+    scaled = ["volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume", "number_of_trades"]
+    copied = [*clean.PRICES, "close_time"]
+
+    def side(d: Dataset) -> DataFrame:
+        df = lake.scan(spark, root, d)
+        lacking = {c: F.lit(None).cast("timestamp_ntz" if c == "close_time" else "double") for c in (*copied, *scaled) if c not in df.columns}
+        return df.withColumns(lacking).select("symbol", "time", *copied, *scaled)
+
+    rows = gaps.proxy_fill(side(ds), side(other), step, most_missing, context_s, scaled, copied, tag)
+    rows = rows.withColumns({
+        "number_of_trades": F.bround("number_of_trades").cast("long"), "close_time": F.coalesce("close_time", add_seconds(F.col("time"), step - 0.001)),
+        "ingested_at": F.lit(ingested_at or datetime.now(timezone.utc).isoformat()),
+    })
     return _write(rows, root, ds)
 
 
@@ -81,6 +94,6 @@ def sync(spark: SparkSession, zips: str, root: str, ds: Dataset, fetch: Callable
         steps["repair"] = repair_gaps(spark, root, ds, fetch, source, ingested_at, most_missing=most_missing)
         steps["audit"] = validate.report(lake.scan(spark, root, ds), ds)
     if proxy is not None and steps["audit"]["info"].get("gaps"):
-        steps["proxy"] = fill_from(spark, root, ds, proxy, most_missing)
+        steps["proxy"] = fill_from(spark, root, ds, proxy, most_missing, ingested_at=ingested_at)
         steps["audit"] = validate.report(lake.scan(spark, root, ds), ds)
     return steps

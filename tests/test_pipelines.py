@@ -41,3 +41,23 @@ def test_sync_repairs_and_fills(spark, tmp_path, capsys):
     assert pipelines.repair_gaps(spark, str(tmp_path), spot, fetch, "x", "now") == {"gaps": 0, "missing": 0, "rows_written": 0}
     cli.main(["latest", str(tmp_path), "binance_spot_1m"])
     assert "2025-01-01 03:19:00" in capsys.readouterr().out
+
+
+def traded(folder, minutes, trades):
+    folder.mkdir(exist_ok=True)
+    with zipfile.ZipFile(folder / "AAA-1m-2025-01-01.zip", "w") as z:
+        z.writestr("x.csv", "\n".join(",".join(map(str, [*row(m)[:8], trades, *row(m)[9:]])) for m in minutes))
+
+
+def test_filled_rows_are_whole(spark, tmp_path):
+    spot, other = dataset("binance_spot_1m"), dataset("crypto_1m")
+    archive(tmp_path / "spot", "AAA", [*range(0, 20), *range(25, 50)])
+    # Ratio 1/2: 3 and 5 trades become 1.5 and 2.5, which are both 2.
+    for name, minutes, trades in (("fut", [*range(0, 22), *range(24, 50)], 6), ("fut22", [22], 3), ("fut23", [23], 5)):
+        traded(tmp_path / name, minutes, trades)
+        pipelines.ingest_archives(spark, str(tmp_path / name), str(tmp_path), other, "archive", "then")
+    done = pipelines.sync(spark, str(tmp_path / "spot"), str(tmp_path), spot, None, "archive", "now", other)
+    assert done["proxy"]["rows_written"] == 5 and done["audit"]["info"]["gaps"] == 0
+    rows = lake.scan(spark, str(tmp_path), spot).where("source = 'proxy_fill'").orderBy("time").collect()
+    assert [r.number_of_trades for r in rows] == [3, 3, 2, 2, 3] and {r.ingested_at for r in rows} == {"now"}
+    assert all((r.close_time - r.time).total_seconds() == 59.999 for r in rows)
