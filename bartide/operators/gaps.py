@@ -22,13 +22,37 @@ def steps(df: DataFrame, symbol: str = "symbol", time: str = "time", floor_s: in
     return inner.unionByName(across).withColumn("seconds", seconds_between("prev", "next"))
 
 
-def ranges(df: DataFrame, step_s: int, most_s: int | None = None, **names) -> DataFrame:
-    """Gaps above ``step_s`` (and up to ``most_s``): prev, next, missing_start, missing_end, missing."""
+def ranges(df: DataFrame, step_s: int, most_s: int | None = None, start=None, end=None, symbols: DataFrame | None = None, **names) -> DataFrame:
+    """Gaps above ``step_s`` (and up to ``most_s``): prev, next, missing_start, missing_end, missing.
+
+    ``start`` and ``end`` are the first and last period expected: the periods before the first reading and after the last one are
+    gaps too, without prev or next. With both, each of ``symbols`` (column symbol) without readings is one gap."""
     g = steps(df, **names).where(F.col("seconds") > step_s)
-    if most_s is not None:
-        g = g.where(F.col("seconds") <= most_s)
-    return g.select("symbol", "prev", "next", add_seconds(F.col("prev"), step_s).alias("missing_start"), add_seconds(F.col("next"), -step_s).alias("missing_end"),
-                    F.expr(f"(seconds + {step_s - 1}) div {step_s} - 1").alias("missing"), "seconds")
+    inner = g.select("symbol", "prev", "next", add_seconds(F.col("prev"), step_s).alias("missing_start"), add_seconds(F.col("next"), -step_s).alias("missing_end"),
+                     F.expr(f"(seconds + {step_s - 1}) div {step_s} - 1").alias("missing"), "seconds")
+    if start is not None or end is not None:
+        inner = inner.unionByName(_ends(df, step_s, start, end, symbols, **names))
+    return inner if most_s is None else inner.where(F.col("seconds") <= most_s)
+
+
+def _ends(df: DataFrame, step_s: int, start, end, symbols: DataFrame | None, symbol: str = "symbol", time: str = "time", floor_s: int | None = 60) -> DataFrame:
+    """The gaps at the ends, in the columns of ``ranges``; seconds as if a reading stood on either side."""
+    t = floor_time(F.col(time), floor_s) if floor_s else F.col(time)
+    ends = df.where(F.col(time).isNotNull() & F.col(symbol).isNotNull()).groupBy(F.col(symbol).alias("symbol")).agg(F.min(t).alias("_first"), F.max(t).alias("_last"))
+    if symbols is not None:
+        ends = ends.join(symbols.where("symbol is not null").select("symbol").distinct(), "symbol", "full")
+    at = lambda x: F.lit(x).cast("timestamp_ntz")
+    none, a, b = at(None), at(start), at(end)
+    part = lambda prev, following, x, y: F.struct(prev.alias("prev"), following.alias("next"), x.alias("missing_start"), y.alias("missing_end"))
+    first, last = F.col("_first"), F.col("_last")
+    parts = F.array(
+        F.when(first.isNotNull(), part(none, first, a, F.least(add_seconds(first, -step_s), b))),
+        F.when(first.isNotNull(), part(last, none, F.greatest(add_seconds(last, step_s), a), b)),
+        F.when(first.isNull(), part(none, none, a, b)),
+    )
+    found = ends.select("symbol", F.explode(parts).alias("_p")).select("symbol", "_p.*").where("missing_start <= missing_end")
+    n = seconds_between("missing_start", "missing_end")
+    return found.withColumn("missing", F.expr(f"timestampdiff(SECOND, missing_start, missing_end) div {step_s} + 1")).withColumn("seconds", n + 2 * step_s)
 
 
 def scan(df: DataFrame, step_s: int, **names) -> DataFrame:
@@ -55,12 +79,12 @@ def resume(df: DataFrame, symbols: DataFrame, backfill_start, step_s: int, overl
     return joined.select("symbol", F.greatest(start, back).alias("fetch_from"), "_first", "_latest").withColumnsRenamed({"_first": "first_time", "_latest": "latest_time"})
 
 
-def proxy_fill(spot: DataFrame, other: DataFrame, step_s: int, most_missing: int, context_s: int, scaled: list[str], copied: list[str], tag: str = "proxy_fill") -> DataFrame:
+def proxy_fill(spot: DataFrame, other: DataFrame, step_s: int, most_missing: int, context_s: int, scaled: list[str], copied: list[str], tag: str = "proxy_fill", **expected) -> DataFrame:
     """Rows for the gaps of ``spot`` that ``other`` covers completely: ``copied`` as they are, ``scaled`` times the median ratio of
     both within ``context_s`` around the gap (ratios in (0, 1000); 1 where there is none).
 
-    Both have symbol and time, one row per symbol and time. Gaps meet rows by hour, an equi-join, not by an open range."""
-    g = ranges(spot, step_s, floor_s=None).where(F.col("missing") <= most_missing).withColumn("_g", F.struct("symbol", "missing_start"))
+    Both have symbol and time, one row per symbol and time. ``expected``: start, end and symbols of ``ranges``. Gaps meet rows by hour, an equi-join, not by an open range."""
+    g = ranges(spot, step_s, floor_s=None, **expected).where(F.col("missing") <= most_missing).withColumn("_g", F.struct("symbol", "missing_start"))
     g = g.select("_g", "symbol", "missing_start", "missing_end", "missing")
     hour = lambda c: F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01', {c}) div 3600")
     inside = g.withColumn("_h", F.explode(F.sequence(hour("missing_start"), hour("missing_end"))))

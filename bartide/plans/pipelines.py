@@ -36,16 +36,9 @@ def _write(rows: DataFrame, root: str, ds: Dataset) -> dict:
     return sinks.upsert(rows, f"{root}/{ds.path}", ["symbol", ds.time], ds.time, ds.partition, ds.grain)
 
 
-def repair_gaps(spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, since=None, until=None, most_missing: int | None = None, dry_run: bool = False) -> dict:
-    """Fetch exactly the missing ranges of ``ds`` and merge what comes. Returns gaps, missing, rows_written."""
-    step = ds.step_s or 60
-    found = gaps.ranges(lake.scan(spark, root, ds, None, since, until, ["symbol", ds.time]), step, floor_s=ds.floor_s, time=ds.time)
-    if most_missing is not None:
-        found = found.where(F.col("missing") <= most_missing)
-    found = cut(found, "gaps")
-    n = found.agg(F.count("*").alias("gaps"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing")).first()
-    if dry_run or not n.gaps:
-        return {"gaps": n.gaps, "missing": n.missing, "rows_written": 0}
+def _fetched(spark: SparkSession, todo: DataFrame, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str) -> dict:
+    """Fetch each range of ``todo`` (symbol, from, to), a day at a time, and merge what comes."""
+    step, day = ds.step_s or 60, 86_400_000
 
     def run(batches):
         for pdf in batches:
@@ -54,21 +47,49 @@ def repair_gaps(spark: SparkSession, root: str, ds: Dataset, fetch: Callable, so
                     yield pd.DataFrame([(symbol, *map(str, r[: len(archives.KLINE_COLUMNS)])) for r in rows], columns=["symbol", *archives.KLINE_COLUMNS])
 
     ms = lambda c: F.expr(f"{c} div 1000")
-    todo = found.withColumns({"_a": epoch_us("missing_start"), "_b": epoch_us("missing_end")}).select("symbol", ms("_a").alias("a"), ms("_b").alias("b"))
-    raw = todo.repartition(64).mapInPandas(run, "symbol string, " + ", ".join(f"`{c}` string" for c in archives.KLINE_COLUMNS))
-    wrote = _write(_candles(raw, source, ingested_at, ds.floor_s), root, ds)
+    days = todo.withColumns({"_a": epoch_us("from"), "_b": epoch_us("to")}).select("symbol", ms("_a").alias("a"), ms("_b").alias("b")).where("a <= b")
+    days = days.select("symbol", F.explode(F.sequence("a", "b", F.lit(day))).alias("a"), "b").withColumn("b", F.least(F.col("a") + day - 1, "b"))
+    raw = days.repartition(64).mapInPandas(run, "symbol string, " + ", ".join(f"`{c}` string" for c in archives.KLINE_COLUMNS))
+    return _write(_candles(raw, source, ingested_at, ds.floor_s), root, ds)
+
+
+def repair_gaps(
+    spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, since=None, until=None, most_missing: int | None = None, dry_run: bool = False,
+    start=None, end=None, symbols: DataFrame | None = None,
+) -> dict:
+    """Fetch exactly the missing ranges of ``ds`` and merge what comes. Returns gaps, missing, rows_written. With ``start``, ``end``
+    and ``symbols`` (see ``gaps.ranges``) what is missing at the ends is a range too; ``since`` and ``until`` bound it."""
+    step = ds.step_s or 60
+    start = max(start, since) if start is not None and since is not None else start
+    end = min(end, until) if end is not None and until is not None else end
+    found = gaps.ranges(lake.scan(spark, root, ds, None, since, until, ["symbol", ds.time]), step, start=start, end=end, symbols=symbols, floor_s=ds.floor_s, time=ds.time)
+    if most_missing is not None:
+        found = found.where(F.col("missing") <= most_missing)
+    found = cut(found, "gaps")
+    n = found.agg(F.count("*").alias("gaps"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing")).first()
+    if dry_run or not n.gaps:
+        return {"gaps": n.gaps, "missing": n.missing, "rows_written": 0}
+    wrote = _fetched(spark, found.withColumnsRenamed({"missing_start": "from", "missing_end": "to"}), root, ds, fetch, source, ingested_at)
     return {"gaps": n.gaps, "missing": n.missing, "rows_written": wrote["rows_written"]}
 
 
+def fetch_tail(spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, start, end, symbols: DataFrame, overlap_s: int = 600) -> dict:
+    """Fetch each of ``symbols`` from where ``gaps.resume`` says to ``end``, the last closed period; ``start``: of the backfill."""
+    held = lake.scan(spark, root, ds, columns=["symbol", ds.time]) if sinks.exists(spark, f"{root}/{ds.path}") else spark.createDataFrame([], f"symbol string, `{ds.time}` timestamp_ntz")
+    todo = gaps.resume(held, symbols, start, ds.step_s or 60, overlap_s, time=ds.time).select("symbol", F.col("fetch_from").alias("from"), F.lit(end).cast("timestamp_ntz").alias("to"))
+    return _fetched(spark, cut(todo, "tail"), root, ds, fetch, source, ingested_at)
+
+
 def ingest_archives(spark: SparkSession, zips: str, root: str, ds: Dataset, source: str, ingested_at: str) -> dict:
     """All kline archives below ``zips`` into the lake; the symbol is that of the archive's name."""
     raw = archives.read_zips(spark, zips, archives.KLINE_COLUMNS).withColumn("symbol", archives.key_parts(F.col("archive"))["symbol"])
     return _write(_candles(raw, source, ingested_at, ds.floor_s), root, ds)
 
 
-def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_missing: int, context_s: int = 6 * 3600, tag: str = "proxy_fill", ingested_at: str | None = None) -> dict:
+def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_missing: int, context_s: int = 6 * 3600, tag: str = "proxy_fill", ingested_at: str | None = None, **expected) -> dict:
     """Fill gaps of ``ds`` that ``other`` covers completely, volumes and trades scaled by their median ratios around the gap, trades
-    rounded half-even. ``ingested_at``: of the fill (now, if not given). Columns that a side lacks are null there."""
+    rounded half-even. ``ingested_at``: of the fill (now, if not given). Columns that a side lacks are null there.
+    ``expected``: start, end and symbols of ``gaps.ranges``, for gaps at the ends."""
     step = ds.step_s or 60
     scaled = ["volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume", "number_of_trades"]
     copied = [*clean.PRICES, "close_time"]
@@ -78,7 +99,7 @@ def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_
         lacking = {c: F.lit(None).cast("timestamp_ntz" if c == "close_time" else "double") for c in (*copied, *scaled) if c not in df.columns}
         return df.withColumns(lacking).select("symbol", "time", *copied, *scaled)
 
-    rows = gaps.proxy_fill(side(ds), side(other), step, most_missing, context_s, scaled, copied, tag)
+    rows = gaps.proxy_fill(side(ds), side(other), step, most_missing, context_s, scaled, copied, tag, **expected)
     rows = rows.withColumns({
         "number_of_trades": F.bround("number_of_trades").cast("long"), "close_time": F.coalesce("close_time", add_seconds(F.col("time"), step - 0.001)),
         "ingested_at": F.lit(ingested_at or datetime.now(timezone.utc).isoformat()),
@@ -86,14 +107,31 @@ def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_
     return _write(rows, root, ds)
 
 
-def sync(spark: SparkSession, zips: str, root: str, ds: Dataset, fetch: Callable | None, source: str, ingested_at: str, proxy: Dataset | None = None, most_missing: int = 1440) -> dict:
-    """Archives, then gap repair, then proxy fill; a report after each step."""
+def sync(
+    spark: SparkSession, zips: str, root: str, ds: Dataset, fetch: Callable | None, source: str, ingested_at: str, proxy: Dataset | None = None, most_missing: int = 1440,
+    start: datetime | None = None, end: datetime | None = None, symbols: list[str] | None = None, overlap_s: int = 600,
+) -> dict:
+    """Archives, then the tail, then gap repair, then proxy fill; a report after each step.
+
+    ``start`` and ``end``: the first and last period expected of every symbol in the lake and of ``symbols``. What is missing there
+    is repaired, filled and reported as a gap; with both, the tail is fetched (``gaps.resume``) up to ``end``."""
     steps = {"archives": ingest_archives(spark, zips, root, ds, source, ingested_at)}
-    steps["audit"] = validate.report(lake.scan(spark, root, ds), ds)
+    exists = lambda: sinks.exists(spark, f"{root}/{ds.path}")
+    names = spark.createDataFrame([(s,) for s in symbols or []], "symbol string")
+    if exists():
+        names = names.union(lake.scan(spark, root, ds, columns=["symbol"])).distinct()
+    names = cut(names, "symbols")
+    if fetch is not None and start is not None and end is not None:
+        steps["tail"] = fetch_tail(spark, root, ds, fetch, source, ingested_at, start, end, names, overlap_s)
+    if not exists():
+        return steps | {"audit": {"valid": False, "row_count": 0, "errors": ["no rows"], "info": {}}}
+    expected = {"start": start, "end": end, "symbols": names} if start is not None or end is not None else {}
+    audit = lambda: validate.report(lake.scan(spark, root, ds), ds, **expected)
+    steps["audit"] = audit()
     if fetch is not None and steps["audit"]["info"].get("gaps"):
-        steps["repair"] = repair_gaps(spark, root, ds, fetch, source, ingested_at, most_missing=most_missing)
-        steps["audit"] = validate.report(lake.scan(spark, root, ds), ds)
+        steps["repair"] = repair_gaps(spark, root, ds, fetch, source, ingested_at, most_missing=most_missing, **expected)
+        steps["audit"] = audit()
     if proxy is not None and steps["audit"]["info"].get("gaps"):
-        steps["proxy"] = fill_from(spark, root, ds, proxy, most_missing, ingested_at=ingested_at)
-        steps["audit"] = validate.report(lake.scan(spark, root, ds), ds)
+        steps["proxy"] = fill_from(spark, root, ds, proxy, most_missing, ingested_at=ingested_at, **expected)
+        steps["audit"] = audit()
     return steps

@@ -21,7 +21,7 @@ def _folders(df: DataFrame, partition: str, time: str, grain: str) -> tuple[Data
     return df, names
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
@@ -42,7 +42,7 @@ def upsert(new: DataFrame, path: str, keys: list[str], time: str = "time", parti
     if not stats.n:
         return {"rows_written": 0, "latest_time": None}
     both = staged
-    if _exists(spark, path):
+    if exists(spark, path):
         old = spark.read.parquet(path)
         touched = staged.select(*folders).distinct()
         for f in folders:  # partition values are read back typed by their names

@@ -53,8 +53,10 @@ def _types(df: DataFrame, required: tuple[str, ...], numeric: tuple[str, ...]) -
     return [f"column {c!r} is not numeric" for c in numeric if c in df.columns and not isinstance(df.schema[c].dataType, NUMERIC)]
 
 
-def report(df: DataFrame, name: str | Dataset) -> dict:
-    """{valid, row_count, errors, info}. Type errors come first and end the report; an empty frame is invalid."""
+def report(df: DataFrame, name: str | Dataset, **expected) -> dict:
+    """{valid, row_count, errors, info}. Type errors come first and end the report; an empty frame is invalid.
+
+    ``expected``: start, end and symbols of ``gaps.ranges``, by which gaps at the ends count too."""
     ds = name if isinstance(name, Dataset) else dataset(name)
     out: dict = {"valid": False, "row_count": 0, "errors": [], "info": {}}
     if ds.kind == "matrix":
@@ -82,7 +84,10 @@ def report(df: DataFrame, name: str | Dataset) -> dict:
     out["info"] = {k: v for k, v in r.items() if k != "row_count"}
     out["errors"] = [f"{text}: {r[k]}" for k, text in texts.items() if r[k]]
     if ds.step_s and ds.kind == "candle":
-        found = gaps.scan(df, ds.step_s, floor_s=None)
+        if expected:
+            found = gaps.ranges(df, ds.step_s, floor_s=None, **expected).groupBy("symbol").agg(F.count("*").alias("n_gaps"), F.max("seconds").alias("max_gap_s"))
+        else:
+            found = gaps.scan(df, ds.step_s, floor_s=None)
         total = found.agg(F.sum("n_gaps").alias("n"), F.max("max_gap_s").alias("m")).first()
         out["info"] |= {"gaps": total.n or 0, "max_gap_s": total.m}
         if total.n:

@@ -1,10 +1,12 @@
 import sys
 import zipfile
+from datetime import datetime, timedelta
 
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from bartide import __main__ as cli
+from bartide.operators import gaps
 from bartide.plans import pipelines
 from bartide.registry import dataset
 from bartide.sources import lake
@@ -61,3 +63,39 @@ def test_filled_rows_are_whole(spark, tmp_path):
     rows = lake.scan(spark, str(tmp_path), spot).where("source = 'proxy_fill'").orderBy("time").collect()
     assert [r.number_of_trades for r in rows] == [3, 3, 2, 2, 3] and {r.ingested_at for r in rows} == {"now"}
     assert all((r.close_time - r.time).total_seconds() == 59.999 for r in rows)
+
+
+def at(minute):
+    return datetime(2025, 1, 1) + timedelta(minutes=minute)
+
+
+def test_gaps_at_the_ends(spark):
+    df = spark.createDataFrame([("A", at(m)) for m in (10, 11, 14)] + [("B", at(m)) for m in range(21)], "symbol string, time timestamp_ntz")
+    symbols = spark.createDataFrame([("B",), ("C",)], "symbol string")
+    found = lambda **kw: sorted((r.symbol, r.missing_start, r.missing_end, r.missing) for r in gaps.ranges(df, 60, **kw).collect())
+    inner = ("A", at(12), at(13), 2)
+    assert found() == [inner] and found(symbols=symbols) == [inner]
+    assert found(start=at(0)) == [("A", at(0), at(9), 10), inner] and found(end=at(20)) == [inner, ("A", at(15), at(20), 6)]
+    assert found(start=at(0), end=at(20), symbols=symbols) == [("A", at(0), at(9), 10), inner, ("A", at(15), at(20), 6), ("C", at(0), at(20), 21)]
+    assert found(start=at(0), end=at(20), most_s=420) == [inner, ("A", at(15), at(20), 6)]
+
+
+def test_sync_head_tail_and_unknown_symbols(spark, tmp_path):
+    spot, other = dataset("binance_spot_1m"), dataset("crypto_1m")
+    archive(tmp_path / "spot", "AAA", [*range(10, 30), *range(32, 50)])
+    archive(tmp_path / "fut", "BBB", range(0, 60))
+    pipelines.ingest_archives(spark, str(tmp_path / "fut"), str(tmp_path), other, "archive", "now")
+
+    def fetch(symbol, start, end, limit):
+        minutes = range(5, 60) if symbol == "BBB" else range(0, 60)
+        return [row(m) for m in minutes if start <= START + m * 60_000 <= end][:limit]
+
+    expected = {"start": at(0), "end": at(59), "symbols": ["AAA", "BBB"]}
+    done = pipelines.sync(spark, str(tmp_path / "spot"), str(tmp_path), spot, fetch, "archive", "now", other, **expected)
+    assert done["tail"]["rows_written"] == 115 and done["repair"] == {"gaps": 1, "missing": 5, "rows_written": 0} and done["proxy"]["rows_written"] == 5
+    assert done["audit"]["info"]["gaps"] == 0 and done["audit"]["row_count"] == 120
+    n = {r.symbol: r["count"] for r in lake.scan(spark, str(tmp_path), spot).groupBy("symbol").count().collect()}
+    assert n == {"AAA": 60, "BBB": 60}
+    (tmp_path / "none").mkdir()
+    done = pipelines.sync(spark, str(tmp_path / "none"), str(tmp_path), spot, lambda *_: [], "archive", "now", start=at(-3), end=at(61), symbols=["CCC"])
+    assert done["audit"]["info"]["gaps"] == 5 and not done["audit"]["valid"]
