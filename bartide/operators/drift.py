@@ -233,16 +233,20 @@ def _classes(pairs: list[tuple[str, str]], names: list[tuple[str, int]]) -> dict
 def consistent(lines: DataFrame, files: DataFrame, max_fields: int = 2000) -> DataFrame:
     """All readable lines in one table of steady schema: line_id, file_id, one canonical column per field, and
     ``other_types``: the whole JSON of values that have no canonical form, or of which it keeps only a part (the first
-    of a list, a number without its unit).
+    of a list, a number without its unit). Where a line has two fields of one class, the first of them in order that has a
+    canonical form is in the column, and the others are in ``other_types`` too.
 
-    Field names and rename pairs are schema metadata; ``max_fields`` bounds them (beyond it this raises)."""
+    Field names and rename pairs are schema metadata; ``max_fields`` bounds the names, four times that the pairs (beyond
+    it this raises)."""
     schemas = cut(file_schemas(lines), "file-schemas")
     pairs = changes(lines, files, schemas).where("change_kind = 'renamed'").groupBy("old_name", "field_name").count()
     stats = schemas.groupBy("key").agg(F.count("*").alias("files"), *[F.sum(c).alias(c) for c in ("n", "n_time", "n_bool", "n_num", "n_string")])
     known = stats.limit(max_fields + 1).collect()
     if len(known) > max_fields:
         raise ValueError(f"more than {max_fields} field names")
-    sure = [(r.old_name, r.field_name) for r in pairs.limit(max_fields * 4).collect()]
+    sure = [(r.old_name, r.field_name) for r in pairs.limit(max_fields * 4 + 1).collect()]
+    if len(sure) > max_fields * 4:
+        raise ValueError(f"more than {max_fields * 4} pairs of renamed fields")
     to = _classes(sure, [(r.key, r.files) for r in sorted(known, key=lambda r: r.key)])
     totals: dict[str, dict] = {}
     for r in known:
@@ -255,22 +259,29 @@ def consistent(lines: DataFrame, files: DataFrame, max_fields: int = 2000) -> Da
     rows = canonical(exploded(lines))
     mapping = F.create_map(*[F.lit(x) for kv in to.items() for x in kv])
     rows = rows.withColumns({"_c": mapping[F.col("key")], "_lossless": lossless()})
+    # Classes of which some file has two fields: pairs of them needn't have been renamed into each other.
+    crowded = schemas.select("file_id", mapping[F.col("key")].alias("_c")).groupBy("file_id", "_c").count().where("count > 1").select("_c").distinct()
+    crowded = [r["_c"] for r in crowded.collect()]
     branch = {"time": "c_time", "bool": "c_bool", "number": "c_number", "text": "c_text", "none": "c_text"}
     as_json = F.when(F.col("json_type").isNotNull(), F.to_json("v"))
 
     def column(name: str, kind: str) -> Column:
-        value = F.col(branch[kind]) if kind in branch else as_json
-        return F.max(F.when(F.col("_c") == name, value)).alias(name)
+        value = F.when(F.col("_c") == name, F.col(branch[kind]) if kind in branch else as_json)
+        return (F.min_by(value, F.when(value.isNotNull(), F.col("key"))) if name in crowded else F.max(value)).alias(name)
 
-    fits = F.lit(False)
+    has, fits = F.lit(False), F.lit(False)
     for kind, c in branch.items():
         names = [n for n, k in kinds.items() if k == kind]
         if names:
             whole = F.col("_lossless") if kind in ("number", "time") else F.lit(True)
-            fits = fits | (F.col("_c").isin(*names) & F.col(c).isNotNull() & whole)
+            here = F.col("_c").isin(*names) & F.col(c).isNotNull()
+            has, fits = has | here, fits | (here & whole)
     other = [n for n, k in kinds.items() if k not in branch]
     if other:
-        fits = fits | F.col("_c").isin(*other)
-    left = F.map_from_entries(F.collect_list(F.when(F.col("json_type").isNotNull() & ~fits, F.struct(F.col("key"), as_json))))
-    return rows.groupBy("line_id", "file_id").agg(*[column(n, kinds[n]) for n in sorted(kinds)], left.alias("other_types"))
-
+        has, fits = has | F.col("_c").isin(*other), fits | F.col("_c").isin(*other)
+    kept = F.struct("key", as_json.alias("json"), "_c", has.alias("has"), fits.alias("fits"))
+    left = F.collect_list(F.when(F.col("json_type").isNotNull() & (~fits | F.col("_c").isin(*crowded)), kept))
+    lines_of = rows.groupBy("line_id", "file_id").agg(*[column(n, kinds[n]) for n in sorted(kinds)], left.alias("other_types"))
+    taken = lambda x: F.exists("other_types", lambda y: (y["_c"] == x["_c"]) & y["has"] & (y["key"] < x["key"]))
+    odd = F.filter("other_types", lambda x: ~x["fits"] | taken(x)) if crowded else F.col("other_types")
+    return lines_of.withColumn("other_types", F.map_from_entries(F.transform(odd, lambda x: F.struct(x["key"], x["json"]))))

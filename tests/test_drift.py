@@ -1,6 +1,8 @@
 import json
 from datetime import datetime
 
+import pytest
+
 from bartide.operators import drift
 
 LINE = "line_id long, file_id long, line_no int, payload string"
@@ -66,6 +68,21 @@ def test_consistent_table_keeps_whole_values(spark):
     assert [{k: json.loads(v) for k, v in r.other_types.items()} for r in t] == [odd[0], {"seen": odd[1]["seen"]}, {"depth": [11.006, None], "spread": "3.5 bps"}, {"depth": []}]
 
 
+def test_two_fields_of_a_class_in_one_line(spark):
+    a, b, c = (rows(x="t", **{k: lambda i: 1.5 + i}) for k in ("spread_bps", "sprd_bp", "spread_basis_points"))
+    both = rows(x="t", spread_bps=lambda i: 1.5 + i, spread_basis_points=lambda i: 2.5 + i)
+    t = drift.consistent(*tables(spark, {"f": [a, b], "g": [b, c], "h": [both + [{"spread_bps": 9.5, "spread_basis_points": None}]]})).orderBy("line_id").collect()
+    name = next(n for n in t[0].asDict() if n.startswith("sp"))
+    assert t[24][name] == 2.5 and t[24].other_types == {"spread_bps": "1.5"} and t[30][name] == 9.5 and not any(r.other_types for r in [*t[:24], t[30]])
+
+
+def test_too_many_rename_pairs_raise(spark, monkeypatch):
+    pairs = [(1, "renamed", f"n{i}", f"o{i}") for i in range(13)]
+    monkeypatch.setattr(drift, "changes", lambda *_: spark.createDataFrame(pairs, "file_id long, change_kind string, field_name string, old_name string"))
+    with pytest.raises(ValueError, match="pairs"):
+        drift.consistent(*tables(spark, {"f": [rows(x=1.5)]}), max_fields=3)
+
+
 def test_union_keeps_alternatives(spark):
     lines, _ = tables(spark, {"f": [rows(x=1, y=[1.5]), rows(x="a", y=[1.5])]})
     got = {(r.field_name, r.json_type): (r.n_values, r.first_file_id, r.last_file_id) for r in drift.union_schema(lines).collect()}
