@@ -456,6 +456,18 @@ def mark_ticker_left_join(spark, sf):
     return out.select("mark_o_orderkey", "symbol", r6("mark_price", "mark_price"), r6("ticker_price", "ticker_price"), r6("spot", "spot"))
 
 
+@query(f"""with {_MARKS}, t as (select symbol, arg_max(price, o_orderkey) as last_price from m group by symbol), s as (select underlying, max(price) as spot from m where underlying <> '' group by 1),
+  e as (select distinct underlying, expiry, dense_rank() over (partition by underlying order by expiry) as r from m where underlying <> '' and expiry >= date '2095-06-01')
+  select m.o_orderkey as mark_o_orderkey, m.symbol, round(m.price, 6) as mark_price, round(t.last_price, 6) as ticker_price, round(s.spot, 6) as spot
+  from m join e using (underlying, expiry) left join t using (symbol) left join s using (underlying) where e.r <= 20""")
+def mark_all_tickers_left_join(spark, sf):
+    """Every row is a ticker; in ``mark_ticker_left_join`` every third is."""
+    m = _option_marks(spark, sf)
+    spots = options.parsed(m).groupBy("underlying").agg(F.max("price").alias("spot"))
+    out = options.snapshot(m, m.select("symbol", "price", "o_orderkey"), spots, "o_orderkey", 20, F.lit("2095-06-01").cast("date"))
+    return out.select("mark_o_orderkey", "symbol", r6("mark_price", "mark_price"), r6("ticker_price", "ticker_price"), r6("spot", "spot"))
+
+
 # Streams and the lake.
 
 
