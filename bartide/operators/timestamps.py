@@ -89,7 +89,7 @@ def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> D
     """Add ``out``: the instant of column ``raw`` in UTC microseconds, or null."""
     keep = df.columns
     v = F.upper(F.regexp_replace(F.btrim(F.col(raw), F.lit(_BLANK_CHARS)), r"\s+", " "))
-    df = df.withColumn("_td_v", F.when(F.length(raw) <= 200, v))
+    df = df.withColumn("_td_v", v)
     layout = F.lit(None).cast("string")
     for pattern, parts in reversed(_LAYOUTS):
         layout = F.when(F.col("_td_v").rlike(pattern), F.regexp_replace("_td_v", pattern, parts)).otherwise(layout)

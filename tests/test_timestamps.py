@@ -55,3 +55,12 @@ def test_empty(spark):
     feed = spark.createDataFrame([], "rec_id long, time string, source string, ingested_at string")
     assert ts.normalise(feed, sources, ["time", "ingested_at"]).count() == 0
     assert ts.normalise(feed.union(spark.sql("select 1L, null, null, null")), sources, ["time"]).select(F.count("*")).first()[0] == 0
+
+
+def test_padded_values_are_read(spark, tmp_path):
+    raws = [" " * 500 + "2024-03-05T06:07:08Z" + "\n" * 500, "2024-03-05" + " " * 500 + "06:07:08Z", " " * 500 + "1709618828", " " * 200_000 + "x" + " " * 200_000 + "x", "1" * 200_000, "2024-" * 40_000]
+    rows = spark.createDataFrame([(raw, "a") for raw in raws], "raw string, source string")
+    book = ts.TimestampDictionary(spark, str(tmp_path / "book"))
+    book.update(rows, spark.createDataFrame(SOURCES, "source string, zone_id string, date_order string"))
+    got = {r.raw: r.found for r in book.lookup(rows, "raw", "source", "found").collect()}
+    assert [got[r] for r in raws] == [us(2024, 3, 5, 6, 7, 8)] * 3 + [None] * 3
