@@ -2,7 +2,8 @@
 
 Method: distinct raw strings with their source's zone and date order form a
 dictionary; each is parsed once, by one exhaustive list of layouts; the dictionary
-is persisted and grows by the strings it lacks; instants are joined back to rows.
+is persisted, in a folder that any later session opens again, and grows by the strings
+it lacks; instants are joined back to rows.
 
 Parsing and zone arithmetic are JVM expressions on whole microseconds and don't
 depend on the session's time zone.
@@ -16,13 +17,14 @@ caller's table are never renamed: the join uses names reserved by ``_td_``.
 
 from __future__ import annotations
 
+import uuid
 from zoneinfo import available_timezones
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bartide.session import work_path
+from bartide.sources import files
 
 DAY_US, MIN_US, SEC_US = 86_400_000_000, 60_000_000, 1_000_000
 
@@ -52,7 +54,7 @@ _LAYOUTS = [
     (rf"^{_NAME}(\d{{1,2}})[- /.]{{1,2}}{_MONTH}[- /,]{{1,2}}(\d{{4}}|\d{{2}})(?:{_SEP}{_CLOCK})?{_ZONE}$", "dny|$1|$2|$3|$4|$5|$6|$7|$8|$9|$10"),
     (rf"^{_NAME}{_MONTH} (\d{{1,2}}),? (\d{{4}})(?:{_SEP}{_CLOCK})?{_ZONE}$", "ndy|$1|$2|$3|$4|$5|$6|$7|$8|$9|$10"),
 ]
-_NUMBER = r"^[+-]?\d{1,20}(?:\.\d{0,12})?(?:E[+]?\d{1,2})?$"
+_NUMBER = r"^[+-]?\d{1,20}(?:\.\d*)?(?:E[+]?\d{1,2})?$"
 _SPELLED = r"^(?:19|20)\d{6}(?:\d{4}|\d{6})?$"
 _BLANK_CHARS = " \t\n\r\x0b\x0c\xa0\ufeff\u200b"
 _BLANKS = r"^[\s\x{a0}\x{feff}\x{200b}]+|[\s\x{a0}\x{feff}\x{200b}]+$"
@@ -90,11 +92,11 @@ def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> D
     keep = df.columns
     v = F.upper(F.regexp_replace(F.btrim(F.col(raw), F.lit(_BLANK_CHARS)), r"\s+", " "))
     df = df.withColumn("_td_v", v)
-    layout = F.lit(None).cast("string")
-    for pattern, parts in reversed(_LAYOUTS):
-        layout = F.when(F.col("_td_v").rlike(pattern), F.regexp_replace("_td_v", pattern, parts)).otherwise(layout)
+    # A replacement that changes the text is a match: each layout is tried once, and none after the first that fits.
+    layout = F.coalesce(*[F.nullif(F.regexp_replace("_td_v", pattern, parts), F.col("_td_v")) for pattern, parts in _LAYOUTS])
     is_number = F.col("_td_v").rlike(_NUMBER) & ~F.col("_td_v").rlike(_SPELLED)
-    df = df.withColumn("_td_n", F.when(is_number, F.col("_td_v").try_cast("decimal(38,12)")))
+    digits = F.regexp_replace("_td_v", r"(\.\d{12})\d+", "$1")  # picoseconds; what is finer is below the unit of the result
+    df = df.withColumn("_td_n", F.when(is_number, digits.try_cast("decimal(38,12)")))
     df = df.withColumn("_td_p", F.when(~is_number, F.split(layout, r"\|", -1)))
     part = lambda i: F.get("_td_p", F.lit(i))
     kind = F.when(part(0) == "src", F.col(order)).otherwise(part(0))
@@ -138,37 +140,40 @@ def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> D
     return df.withColumn("_td_out", instant).select(*[F.col(f"`{k}`") for k in keep], F.col("_td_out").alias(out))
 
 
-ENTRY = T.StructType([
-    T.StructField("raw", T.StringType()), T.StructField("source", T.StringType()), T.StructField("zone_id", T.StringType()),
-    T.StructField("date_order", T.StringType()), T.StructField("utc_us", T.LongType()),
-])
+ENTRY = "raw string, source string, rule string, utc_us long"
 
 
 class TimestampDictionary:
-    """The persisted dictionary of distinct (raw, source) and their instants.
+    """The persisted dictionary of distinct (raw, source, rule) and their instants; a rule is the source's zone and date order.
 
-    ``update`` parses only strings that are not in it yet and appends them as one
-    more folder; a folder that a lost job left half written has no success marker
-    in its parent listing and is ignored by the next reader."""
+    Opening an existing path finds its entries. ``update`` parses the strings it lacks and adds them as one more folder,
+    never touching older ones; a folder without its success marker (a job that was lost) is ignored. One writer at a time.
+    Entries of rules that ``sources`` no longer gives stay, unused. ``sources``: source, zone_id, date_order, a small clean table."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.parts = spark, path or work_path(spark, "instants"), 0
+    def __init__(self, spark: SparkSession, sources: DataFrame, path: str | None = None):
+        self.spark, self.path = spark, path or work_path(spark, "instants")
+        known = sources.select(source_key(F.col("source")).alias("source"), "zone_id", "date_order").where(F.col("source").isNotNull())
+        self.known = known.groupBy("source").agg(F.min(F.struct("zone_id", "date_order")).alias("_r")).select("source", "_r.*")
 
-    def entries(self) -> DataFrame:
-        if not self.parts:
-            return self.spark.createDataFrame([], ENTRY)
-        return self.spark.read.schema(ENTRY).parquet(*[f"{self.path}/part={i}" for i in range(self.parts)])
+    def _ruled(self, df: DataFrame) -> DataFrame:
+        """``df`` (source) with zone_id, date_order and rule."""
+        return df.join(self.known, "source", "left").withColumn("rule", F.concat_ws("|", F.coalesce("zone_id", F.lit("")), F.coalesce("date_order", F.lit(""))))
 
-    def update(self, raws: DataFrame, sources: DataFrame) -> None:
-        """``raws``: columns raw, source (as written). ``sources``: source, zone_id, date_order (a small clean table)."""
-        known = sources.select(source_key(F.col("source")).alias("source"), "zone_id", "date_order").dropDuplicates(["source"])
+    def entries(self) -> DataFrame:
+        """raw, source, utc_us: what the dictionary holds under the present rules."""
+        parts = [f"{self.path}/{n}" for n in files.names(self.spark, self.path) if n.startswith("part-") and files.exists(self.spark, f"{self.path}/{n}/_SUCCESS")]
+        if not parts:
+            return self.spark.createDataFrame([], "raw string, source string, utc_us long")
+        held = self.spark.read.schema(ENTRY).parquet(*parts)
+        return self._ruled(held.withColumnRenamed("rule", "_then")).where(F.col("rule") == F.col("_then")).select("raw", "source", "utc_us")
+
+    def update(self, raws: DataFrame) -> None:
+        """``raws``: columns raw, source (as written)."""
         new = raws.where(F.col("raw").isNotNull()).select("raw", F.coalesce(source_key(F.col("source")), F.lit("")).alias("source")).distinct()
-        if self.parts:
+        if files.names(self.spark, self.path):
             new = new.join(self.entries().select("raw", "source"), ["raw", "source"], "left_anti")
-        new = new.join(known, "source", "left")
-        parsed = parse_columns(new, "raw", "zone_id", "date_order", "utc_us")
-        parsed.select(*ENTRY.names).write.mode("overwrite").parquet(f"{self.path}/part={self.parts}")
-        self.parts += 1
+        parsed = parse_columns(self._ruled(new), "raw", "zone_id", "date_order", "utc_us")
+        parsed.select("raw", "source", "rule", "utc_us").write.parquet(f"{self.path}/part-{uuid.uuid4().hex}")
 
     def lookup(self, df: DataFrame, raw: str, source: str, out: str) -> DataFrame:
         """``df`` with ``out``: the instant of ``raw`` (null if it denotes none)."""
@@ -179,10 +184,12 @@ class TimestampDictionary:
 
 
 def normalise(df: DataFrame, sources: DataFrame, columns: list[str], source: str = "source", key: str = "rec_id", path: str | None = None) -> DataFrame:
-    """One row per (key, column of ``columns``) whose value denotes one instant: key, field_name, utc_us."""
+    """One row per (key, column of ``columns``) whose value denotes one instant: key, field_name, utc_us.
+
+    With ``path``, the dictionary there is used and grows; values that it has aren't parsed again."""
     long = df.select(key, F.col(source).alias("_td_source"), F.explode(F.array(*[
         F.struct(F.lit(name).alias("field_name"), F.col(name).cast("string").alias("raw")) for name in columns
     ])).alias("_td_x")).select(key, F.col("_td_source").alias("source"), "_td_x.field_name", "_td_x.raw").where(F.col("raw").isNotNull())
-    book = TimestampDictionary(df.sparkSession, path)
-    book.update(long, sources)
+    book = TimestampDictionary(df.sparkSession, sources, path)
+    book.update(long)
     return book.lookup(long, "raw", "source", "utc_us").where(F.col("utc_us").isNotNull()).select(key, "field_name", "utc_us")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide.operators import drift, grid, spikes, timestamps
+from bartide.session import work_path
 from bartide.sources.tables import table
 
 
@@ -13,6 +14,15 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return timestamps.normalise(table(spark, sf, "candle_feed"), table(spark, sf, "feed_source"), ["time", "ingested_at"])
 
 
+def p2_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of p2_found, of each source's values in turn, the dictionary opened again for each; the last turn parses nothing."""
+    feed, sources, path = table(spark, sf, "candle_feed"), table(spark, sf, "feed_source"), work_path(spark, "instants")
+    known = timestamps.source_key(F.col("source"))
+    for r in sources.select("source").orderBy("source").collect():
+        timestamps.normalise(feed.where(known == r.source), sources, ["time", "ingested_at"], path=path)
+    return timestamps.normalise(feed, sources, ["time", "ingested_at"], path=path)
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return _grid(spark, sf).where("missing").select("symbol", "slot_s")
 
@@ -43,6 +53,7 @@ def p5_table(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found,
+    "p2_batches": p2_batches,
     "p3_found": p3_found,
     "p3_grid": p3_grid,
     "p4_found": p4_found,

@@ -1,3 +1,6 @@
+import glob
+import os
+import shutil
 from datetime import datetime, timezone
 
 import pytest
@@ -30,10 +33,16 @@ CASES = [
 def test_cases_and_increments(spark, tmp_path):
     sources = spark.createDataFrame(SOURCES, "source string, zone_id string, date_order string")
     rows = spark.createDataFrame([(i, raw, src, 1) for i, (raw, src, _) in enumerate(CASES)], "rec_id int, raw string, source string, utc_us int")
-    book = ts.TimestampDictionary(spark, str(tmp_path / "book"))
-    book.update(rows.where("rec_id % 2 = 0"), sources)
-    book.update(rows, sources)  # parses only what it lacks
-    book.update(rows, sources)
+    # Two sessions add to the dictionary at one path, a third reads it.
+    path = str(tmp_path / "book")
+    ts.TimestampDictionary(spark.newSession(), sources, path).update(rows.where("rec_id % 2 = 0"))
+    held = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*")}
+    other = ts.TimestampDictionary(spark.newSession(), sources, path)
+    other.update(rows)  # parses only what it lacks
+    other.update(rows)
+    assert held == {f: os.path.getmtime(f) for f in held}
+    shutil.copytree(glob.glob(f"{path}/part-*")[0], f"{path}/part-lost", ignore=shutil.ignore_patterns("_SUCCESS"))
+    book = ts.TimestampDictionary(spark, sources, path)
     assert book.entries().count() == book.entries().select("raw", "source").distinct().count() == len({(r, (s or "").strip().lower()) for r, s, _ in CASES if r is not None})
     got = {r.rec_id: r.found for r in book.lookup(rows.union(rows), "raw", "source", "found").collect()}
     assert [(CASES[i], got[i]) for i in range(len(CASES)) if got[i] != CASES[i][2]] == []
@@ -60,7 +69,22 @@ def test_empty(spark):
 def test_padded_values_are_read(spark, tmp_path):
     raws = [" " * 500 + "2024-03-05T06:07:08Z" + "\n" * 500, "2024-03-05" + " " * 500 + "06:07:08Z", " " * 500 + "1709618828", " " * 200_000 + "x" + " " * 200_000 + "x", "1" * 200_000, "2024-" * 40_000]
     rows = spark.createDataFrame([(raw, "a") for raw in raws], "raw string, source string")
-    book = ts.TimestampDictionary(spark, str(tmp_path / "book"))
-    book.update(rows, spark.createDataFrame(SOURCES, "source string, zone_id string, date_order string"))
+    book = ts.TimestampDictionary(spark, spark.createDataFrame(SOURCES, "source string, zone_id string, date_order string"), str(tmp_path / "book"))
+    book.update(rows)
     got = {r.raw: r.found for r in book.lookup(rows, "raw", "source", "found").collect()}
     assert [got[r] for r in raws] == [us(2024, 3, 5, 6, 7, 8)] * 3 + [None] * 3
+
+
+def test_a_source_that_moves_is_parsed_anew(spark, tmp_path):
+    rows = spark.createDataFrame([("2024-07-05 06:07:08", "ber")], "raw string, source string")
+    for zone, hour in (("Europe/Berlin", 4), ("Asia/Tokyo", 21), ("Europe/Berlin", 4)):
+        book = ts.TimestampDictionary(spark, spark.createDataFrame([("ber", zone, "dmy")], "source string, zone_id string, date_order string"), str(tmp_path / "book"))
+        book.update(rows)
+        assert [r.found for r in book.lookup(rows, "raw", "source", "found").collect()] == [us(2024, 7, 5 if hour == 4 else 4, hour, 7, 8)]
+    assert ts.TimestampDictionary(spark, spark.createDataFrame(SOURCES, "source string, zone_id string, date_order string"), str(tmp_path / "book")).entries().count() == 1
+
+
+def test_fine_decimals_of_numbers(spark):
+    sources = spark.createDataFrame(SOURCES, "source string, zone_id string, date_order string")
+    feed = spark.createDataFrame([(1, "1709618828.1234567890123456", "a", None), (2, "-1.5", "a", None)], "rec_id long, time string, source string, ingested_at string")
+    assert sorted(tuple(r) for r in ts.normalise(feed, sources, ["time"]).collect()) == [(1, "time", us(2024, 3, 5, 6, 7, 8, micro=123456)), (2, "time", -1_500_000)]
