@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide.llm import fusion, incremental, mixing, sentences, tokens
+from bartide.session import work_path
 from bartide.sources.tables import table
 
 
-def _records(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.records(table(spark, sf, "candle_feed"), table(spark, sf, "feed_source"))
+def _feed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    sources = table(spark, sf, "feed_source")
+    return fusion.records(table(spark, sf, "candle_feed"), sources), sources
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.dominant_prior(_records(spark, sf)).select("group_id", "field_name", "rec_id")
+    return fusion.fuse(*_feed(spark, sf), policy=True).select("group_id", "field_name", "rec_id")
 
 
 def p1_fused(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.fuse(_records(spark, sf))
+    return fusion.fuse(*_feed(spark, sf))
+
+
+def p1_overruled(spark: SparkSession, sf: str) -> DataFrame:
+    return fusion.overruled(*_feed(spark, sf))
 
 
 def p1_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.source_report(_records(spark, sf))
+    return fusion.source_report(*_feed(spark, sf))
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -30,6 +38,18 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.dedup(index, table(spark, sf, "candle_batch"))
 
 
+def p6_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of p6_found, batch by batch, the index opened again for each."""
+    path = work_path(spark, "cells")
+    incremental.build(table(spark, sf, "candle"), path=path)
+    batches = table(spark, sf, "candle_batch")
+    found = []
+    for r in batches.select("batch_no").distinct().orderBy("batch_no").collect():
+        rows = batches.where(F.col("batch_no").eqNullSafe(F.lit(r.batch_no)))
+        found.append(incremental.dedup(incremental.CellIndex(spark, path), rows, batch=f"b{r.batch_no}"))
+    return reduce(DataFrame.unionByName, found) if found else incremental.dedup(incremental.CellIndex(spark, path), batches)
+
+
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode(table(spark, sf, "documents"), "doc_id", "text")
 
@@ -58,8 +78,10 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_fused": p1_fused,
+    "p1_overruled": p1_overruled,
     "p1_sources": p1_sources,
     "p6_found": p6_found,
+    "p6_batches": p6_batches,
     "p7_ids": p7_ids,
     "p7_words": p7_words,
     "p8_mix": p8_mix,
