@@ -1,10 +1,10 @@
 """Cutting long per-source sequences into bounded, overlapping pieces.
 
-A source may hold a third of all rows, so no operator here lets one task see a
-whole source. Rows are counted by (source, time cell); running counts over that
-small table place each cell in chunks of about ``size`` readings, and cells within
-``halo`` readings of a neighbouring chunk go to that chunk too. Each cell has one
-owner, so every reading is reported exactly once.
+A source may hold a third of all rows, at any density in time, so no operator here lets
+one task see a whole source. Rows are range-partitioned by source and order; counts by
+(source, partition), a small table, give each row its place in its source; chunks are
+runs of places, and rows within a halo of a neighbouring chunk go to that chunk too.
+Every row has one owner, and copies are bounded by the halo.
 """
 
 from __future__ import annotations
@@ -12,14 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def time_cell(column: str, seconds: int):
-    """The cell of a TIMESTAMP_NTZ or TIMESTAMP column, as whole cells since 1970.
-
-    Truncated dates and clock parts give the seconds, whatever the session's zone."""
-    c = F.col(column)
-    s = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-    return F.floor(s / F.lit(seconds)).cast("long")
+from bartide.session import cut
 
 
 def epoch_us(column) -> F.Column:
@@ -29,22 +22,22 @@ def epoch_us(column) -> F.Column:
     return whole * F.lit(1_000_000).cast("long") + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
 
 
-def chunked(df: DataFrame, source: str, time: str, size: int = 512, halo: int = 64, cell_seconds: int = 3600, extra: DataFrame | None = None) -> DataFrame:
-    """``df`` with columns _chunk and _own; rows appear once for each chunk that needs them.
-
-    ``extra``: columns by source to attach (joined to the small table of cells, not to the rows)."""
-    df = df.withColumn("_cell", time_cell(time, cell_seconds))
-    cells = df.groupBy(source, "_cell").agg(F.count("*").alias("_n"))
-    to = F.sum("_n").over(Window.partitionBy(source).orderBy("_cell"))
-    cells = cells.withColumn("_to", to).select(
-        source, "_cell",
-        F.floor((F.col("_to") - F.col("_n")) / size).cast("long").alias("_home"),
-        F.explode(F.sequence(
-            F.floor(F.greatest(F.col("_to") - F.col("_n") - halo, F.lit(0)) / size).cast("long"),
-            F.floor((F.col("_to") - 1 + halo) / size).cast("long"),
-        )).alias("_chunk"),
-    ).withColumn("_own", F.col("_home") == F.col("_chunk")).drop("_home")
-    # A cell larger than a chunk would reach several chunks after its own; those only need it as a halo.
-    if extra is not None:
-        cells = cells.join(extra, source, "left")
-    return df.join(cells, [source, "_cell"]).drop("_cell")
+def ranked(df: DataFrame, source: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with _part and _i, and the table of (source, _part, _base) of which ``_i + _base`` is a row's place in its
+    source (from 0) by ``order``, which must tell all rows of a source apart. See ``placed``."""
+    rows = df.repartitionByRange(source, *order).sortWithinPartitions(source, *order)
+    rows = cut(rows.withColumns({"_part": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}), "ranked")
+    parts = rows.groupBy(source, "_part").agg(F.min("_i").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(source).orderBy("_part")) - F.col("_n")
+    return rows, parts.select(source, "_part", (before - F.col("_first")).alias("_base"))
+
+
+def placed(rows: DataFrame, bases: DataFrame, source: str) -> DataFrame:
+    """The rows of ``ranked`` with _pos, and with what else ``bases`` holds."""
+    return rows.join(bases, [source, "_part"]).withColumn("_pos", F.col("_i") + F.col("_base")).drop("_part", "_i", "_base")
+
+
+def chunked(rows: DataFrame, size: int, halo: int) -> DataFrame:
+    """``rows`` (with _pos) with _chunk and _own; a row appears once for each chunk that needs it."""
+    reach = F.sequence(F.expr(f"greatest(_pos - {halo}, 0L) div {size}"), F.expr(f"(_pos + {halo}) div {size}"))
+    return rows.withColumn("_chunk", F.explode(reach)).withColumn("_own", F.expr(f"_pos div {size}") == F.col("_chunk"))

@@ -8,7 +8,8 @@ assign the flag.
 
 Sequences are cut into overlapping chunks (``chunks.chunked``), so a source with a
 third of all rows is many tasks; a source's parameters come from mergeable
-percentile sketches. The forward and backward passes are associative scans of 4 x 4
+percentile sketches and from counts of runs over all its readings, so they don't depend
+on the chunks. The forward and backward passes are associative scans of 4 x 4
 matrices, in numpy.
 
 Defined results: null and NaN are never flagged and break no run; rows without time
@@ -21,10 +22,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bartide.operators.chunks import chunked, epoch_us
+from bartide.operators.chunks import chunked, placed, ranked
 
 FIELDS = ("close", "high", "volume")
 NORMAL, SPIKE, STUCK, OUT = range(4)
@@ -34,7 +35,7 @@ SCALE = {"close": (1.8, 100.0), "high": (1.3, 100.0), "volume": (0.42, 25.0)}
 #: Chance of entering each state, of leaving stuck, and the least chance that a
 #: normal reading repeats the one before.
 ENTER = {SPIKE: 1e-3, STUCK: 2e-3, OUT: 1e-3}
-LEAVE_STUCK, LEAST_REPEAT = 0.05, 0.25
+LEAVE_STUCK, LEAST_REPEAT, RUN_BLOCK = 0.05, 0.25, 4096
 KEYS = ["symbol", "time", "open", "high", "low", "close", "volume"]
 
 
@@ -52,6 +53,22 @@ def usual_behaviour(df: DataFrame) -> DataFrame:
     return stats.select("symbol", F.coalesce(s, F.lit(1e-3)).alias("_s"), F.col("g").alias("_g"))
 
 
+def usual_repeats(rows: DataFrame) -> DataFrame:
+    """By symbol and field: the chance that a reading repeats the one before it (_p_close, ...), as the share of runs of two or
+    more among its runs, so that one long run counts once. ``rows``: with _pos; runs end at every RUN_BLOCK-th reading."""
+    block = Window.partitionBy("symbol", F.expr(f"_pos div {RUN_BLOCK}")).orderBy("_pos")
+    earlier = block.rowsBetween(Window.unboundedPreceding, -1)
+    value = {f: F.when(_good(F.col(f)) & (F.col(f) > 0), F.col(f)) for f in FIELDS}
+    rows = rows.select("symbol", "_pos", *[v.alias(f) for f, v in value.items()])
+    same = {f"_same_{f}": F.when(F.col(f).isNotNull(), F.coalesce(F.col(f) == F.last(f, True).over(earlier), F.lit(False))) for f in FIELDS}
+    rows = rows.withColumns(same)
+    rows = rows.withColumns({f"_then_{f}": F.coalesce(F.last(f"_same_{f}", True).over(earlier), F.lit(False)) for f in FIELDS})
+    runs = [F.count_if(~F.col(f"_same_{f}")).alias(f"_runs_{f}") for f in FIELDS]
+    longer = [F.count_if(F.col(f"_same_{f}") & ~F.col(f"_then_{f}")).alias(f"_longer_{f}") for f in FIELDS]
+    rate = lambda f: F.least(F.greatest((F.col(f"_longer_{f}") + 1) / (F.col(f"_runs_{f}") + 4), F.lit(LEAST_REPEAT)), F.lit(0.9))
+    return rows.groupBy("symbol").agg(*runs, *longer).select("symbol", *[rate(f).alias(f"_p_{f}") for f in FIELDS])
+
+
 def _scan(m: np.ndarray) -> np.ndarray:
     """Running products m[0] @ ... @ m[i], each scaled to a largest entry of one."""
     m, step = m / m.max(axis=(-1, -2), keepdims=True), 1
@@ -86,11 +103,8 @@ def posteriors(emit: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
-def _emissions(residual: np.ndarray, same: np.ndarray, first: np.ndarray, out: np.ndarray, known: np.ndarray, field: str) -> np.ndarray:
+def _emissions(residual: np.ndarray, same: np.ndarray, p_same: float, out: np.ndarray, known: np.ndarray, field: str) -> np.ndarray:
     scale, spread = SCALE[field]
-    runs = max(int((first & known).sum()), 1)
-    repeats = int((first & np.append(same[1:], False)).sum())  # runs of two or more count once each
-    p_same = min(max((repeats + 1) / (runs + 4), LEAST_REPEAT), 0.9)
     e = np.empty((len(residual), 4))
     e[:, NORMAL] = np.exp(-np.minimum(residual, 200 * scale) / scale) / scale * np.where(same, p_same, 1 - p_same)
     e[:, SPIKE] = np.where(same, 1e-3, 1.0) / spread
@@ -117,7 +131,7 @@ def _next_good(x: np.ndarray, good: np.ndarray) -> np.ndarray:
 
 def flag_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
     """Flags of the readings that the chunk owns."""
-    pdf = pdf.sort_values(["_us", *KEYS[2:]], kind="stable").reset_index(drop=True)
+    pdf = pdf.sort_values("_pos", kind="stable").reset_index(drop=True)
     o, h, lo, c, v = (pdf[k].to_numpy("float64", na_value=np.nan) for k in KEYS[2:])
     s, g = max(float(pdf["_s"].iloc[0]), 1e-6), pdf["_g"].iloc[0]
     with np.errstate(all="ignore"):
@@ -143,7 +157,7 @@ def flag_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
             with np.errstate(all="ignore"):
                 out = out | (h < np.fmax(o, lo)) | ((h < c) & ~flags["close"])
         same = _unchanged(x, known) & ~((field == "volume") & (x == 0)) & ~out
-        p = posteriors(_emissions(dev, same, known & ~same, out, known, field))
+        p = posteriors(_emissions(dev, same, float(pdf[f"_p_{field}"].iloc[0]), out, known, field))
         flags[field] = known & (1 - p[:, NORMAL] > 0.5)
     own = pdf["_own"].to_numpy(bool) & (flags["close"] | flags["high"] | flags["volume"])
     kept = pdf.loc[own, KEYS].copy()
@@ -155,9 +169,11 @@ def flag_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
 def flag(df: DataFrame, size: int = 512, halo: int = 96) -> DataFrame:
     """Rows (bar_id, field_name) of implausible values of ``df`` (bar_id, time, symbol, open, high, low, close, volume)."""
     df = df.select("bar_id", *KEYS)
-    placed = F.col("time").isNotNull() & F.col("symbol").isNotNull()
-    readings = df.where(placed).select(*KEYS).groupBy(*KEYS).agg(F.lit(1).alias("_one")).drop("_one")
-    pieces = chunked(readings, "symbol", "time", size, halo, extra=usual_behaviour(readings)).withColumn("_us", epoch_us("time"))
+    known = F.col("time").isNotNull() & F.col("symbol").isNotNull()
+    readings = df.where(known).select(*KEYS).groupBy(*KEYS).agg(F.lit(1).alias("_one")).drop("_one")
+    rows, bases = ranked(readings, "symbol", KEYS[1:])
+    usual = usual_behaviour(rows).join(usual_repeats(placed(rows, bases, "symbol")), "symbol")
+    pieces = chunked(placed(rows, bases.join(usual, "symbol"), "symbol"), size, halo)
     types = dict(df.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in KEYS) + ", bad_close boolean, bad_high boolean, bad_volume boolean"
     bad = pieces.groupBy("symbol", "_chunk").applyInPandas(flag_chunk, schema)
@@ -165,11 +181,11 @@ def flag(df: DataFrame, size: int = 512, halo: int = 96) -> DataFrame:
     for k in KEYS:
         test = F.col(f"d.{k}") == F.col(f"b.{k}") if k in ("symbol", "time") else F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}"))
         same = test if same is None else same & test
-    hit = df.where(placed).alias("d").join(bad.alias("b"), same).select("d.bar_id", *[f"b.bad_{f}" for f in FIELDS])
+    hit = df.where(known).alias("d").join(bad.alias("b"), same).select("d.bar_id", *[f"b.bad_{f}" for f in FIELDS])
     # Rows without a place in time or a source: the hard bounds alone.
     o, h, lo, c, v = (F.col(k) for k in KEYS[2:])
     low_high = (h < o) | (h < lo) | ((h < c) & (c > 0) & ~F.isnan(c))
-    loose = df.where(~placed).select(
+    loose = df.where(~known).select(
         "bar_id", F.coalesce(_good(c) & (c <= 0), F.lit(False)).alias("bad_close"),
         F.coalesce(_good(h) & ((h <= 0) | F.coalesce(low_high, F.lit(False))), F.lit(False)).alias("bad_high"),
         F.coalesce(_good(v) & (v < 0), F.lit(False)).alias("bad_volume"),

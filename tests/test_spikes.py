@@ -3,7 +3,9 @@ from datetime import datetime, timedelta
 
 import numpy as np
 
-from bartide.operators import spikes
+from pyspark.sql import functions as F
+
+from bartide.operators import chunks, spikes
 
 T0 = datetime(2025, 1, 1)
 SCHEMA = "bar_id long, time timestamp_ntz, symbol string, open double, high double, low double, close double, volume double, source string"
@@ -61,6 +63,32 @@ def test_chunks_do_not_matter(spark):
     assert {(i, "close") for i in (255, 257, 511, 513, 768, 1023, 1498)} <= whole and {(i, "volume") for i in range(701, 725)} <= whole
 
 
+def test_uneven_repeats_and_chunks(spark):
+    """A source whose stretches repeat differently has one rate of repeats, whatever the chunks."""
+    rows, rnd = series(3000, 7), random.Random(3)
+    for i in range(1, 3000):
+        often = 0.9 if (i // 400) % 2 else 0.05
+        if rnd.random() < often:
+            rows[i][7] = rows[i - 1][7]
+    whole = found(spark, rows, size=100_000)
+    assert found(spark, rows, size=256, halo=128) == whole == found(spark, rows, size=512, halo=128)
+
+
+def test_dense_readings_are_split(spark):
+    """All readings in one second: chunks stay bounded, copies are those of the halo."""
+    rows = series(4000, 8)
+    for i, r in enumerate(rows):
+        r[1] = T0 + timedelta(microseconds=200 * i)
+    rows[2000][6] *= 2
+    df = spark.createDataFrame([tuple(r) for r in rows], SCHEMA)
+    held, bases = chunks.ranked(df, "symbol", ["time", "bar_id"])
+    placed = chunks.placed(held, bases, "symbol")
+    assert sorted((r._pos, r.bar_id) for r in placed.select("_pos", "bar_id").collect()) == [(i, i) for i in range(4000)]
+    pieces = chunks.chunked(placed, 256, 64).groupBy("_chunk").agg(F.count("*").alias("n"), F.count_if("_own").alias("own")).collect()
+    assert max(r.n for r in pieces) <= 384 and sum(r.own for r in pieces) == 4000 and sum(r.n for r in pieces) <= 6000
+    assert (2000, "close") in found(spark, rows, size=256, halo=64)
+
+
 def test_zero_volume_is_not_stuck_and_empty(spark):
     rows = series(300)
     for i in range(100, 160):
