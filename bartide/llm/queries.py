@@ -71,6 +71,14 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mix(spark, sf).report()
 
 
+def p8_shortfall(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of a mix as large as the listed sources together: what each of them can't give to it."""
+    documents, targets = table(spark, sf, "documents"), table(spark, sf, "mix_target")
+    listed = documents.join(targets.select("source").distinct(), "source", "left_semi")
+    total = tokens.sizes(listed, "doc_id", "text").agg(F.sum("n_tokens")).first()[0] or 0
+    return mixing.Mix(documents, targets, total_tokens=total).report()
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return sentences.split(table(spark, sf, "documents"), "doc_id", "text")
 
@@ -86,6 +94,7 @@ QUERIES = {
     "p7_words": p7_words,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p8_shortfall": p8_shortfall,
     "p9_found": p9_found,
 }
 SQL: dict[str, str] = {}

@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +63,42 @@ def test_empty(spark):
     mix = mixing.Mix(docs(spark, {}), t)
     assert mix.rows.count() == 0 and [r.target_met for r in mix.report().collect()] == [False]
     assert mixing.Mix(docs(spark, {"a": [5]}), t.limit(0)).rows.count() == 0
+
+
+def test_small_sources_meet_their_share_to_the_token(spark):
+    d = docs(spark, {"a": [40] * 300, "three": [13, 20, 11], "one": [7]})
+    t = spark.createDataFrame([("a", 0.9, 1), ("three", 0.07, 3), ("one", 0.03, 9)], TARGETS)
+    report = {r.source: r for r in mixing.Mix(d, t, block_tokens=16).report().collect()}
+    total = sum(r.tokens for r in report.values())
+    assert all(r.target_met and r.tokens == r.planned_tokens and abs(r.tokens - r.target_share * total) <= 1 for r in report.values())
+    assert report["one"].most_uses <= 9 and report["three"].most_uses <= 3 and 0 < report["a"].unused_share < 1
+
+
+def test_permutations_and_draws():
+    for n in (1, 2, 3, 5, 16, 17, 1000, 4097):
+        p = mixing.Permutation(n, "k", n)
+        there = p(np.arange(n))
+        assert sorted(there.tolist()) == list(range(n)) and (p(there, back=True) == np.arange(n)).all()
+    steps = np.diff(mixing.Permutation(4096, 1)(np.arange(4096)))
+    assert len(set(steps.tolist())) > 2000
+    for counts in ([5, 0, 40, 1], [10**10, 3 * 10**10, 7]):
+        counts, shards = np.array(counts, np.int64), 7
+        lo = np.zeros(len(counts), np.int64)
+        for m in range(shards):
+            taken, here = mixing._drawn(counts, shards, m, 3)
+            assert (taken == lo).all() and here.sum() == int(counts.sum()) * (m + 1) // shards - int(counts.sum()) * m // shards
+            lo += here
+        assert (lo == counts).all()
+
+
+def test_every_total_is_met_to_the_token():
+    for tokens in (1, 7, 16, 17, 100):
+        for want in range(1, 3 * tokens + 1):
+            s = [mixing.Source("s", 1.0, 3, tokens, 1)]
+            mixing.plan(s, 16, want, 5)
+            (s,) = s
+            blocks, got = s.blocks(16), 0
+            for j in range(s.slots):
+                block = int(mixing.Permutation(blocks, 5, "s", j // blocks)(np.array([j % blocks]))[0])
+                got += min(16 if block < blocks - 1 else tokens - 16 * (blocks - 1), s.last if j == s.slots - 1 else 16)
+            assert got == want == s.planned
