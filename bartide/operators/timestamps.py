@@ -106,22 +106,18 @@ def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> D
     for name, ymd in places.items():
         at = F.when(F.col("_td_kind") == name, F.array(*map(F.lit, ymd))).otherwise(at)
     df = df.withColumn("_td_kind", kind).withColumn("_td_at", at)
-    piece = lambda i: F.get("_td_p", F.get("_td_at", F.lit(i)))
-    df = df.withColumns({"_td_y": piece(0), "_td_m": piece(1), "_td_d": piece(2).try_cast("int")})
-    months = F.array(*map(F.lit, MONTHS))
-    month = F.when(F.col("_td_m").rlike("^[A-Z]"), F.array_position(months, F.col("_td_m")).cast("int")).otherwise(F.col("_td_m").try_cast("int"))
-    year = F.col("_td_y").try_cast("int") + F.when(F.length("_td_y") == 2, 2000).otherwise(0)
-    df = df.withColumns({"_td_mo": month, "_td_yr": year})
-    df = df.withColumn("_td_first", F.when(F.col("_td_mo").between(1, 12) & F.col("_td_yr").between(1, 9999), F.make_date("_td_yr", "_td_mo", F.lit(1))))
-    nz = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
-    micros = F.rpad(F.substring(F.coalesce(part(7), F.lit("")), 1, 6), 6, "0").try_cast("long")
-    df = df.withColumns({"_td_h": nz(4), "_td_mi": nz(5), "_td_s": nz(6), "_td_us": micros, "_td_half": F.coalesce(part(8), F.lit(""))})
+    # A lambda ends a span of generated code: one method of more than 8,000 bytes would never be compiled by the JVM.
+    df = df.withColumn("_td_ymd", F.transform("_td_at", lambda i: F.get("_td_p", i)))
+    piece = lambda i: F.get("_td_ymd", F.lit(i))
+    month = F.when(piece(1).rlike("^[A-Z]"), F.array_position(F.array(*map(F.lit, MONTHS)), piece(1)).cast("string")).otherwise(piece(1))
+    year = F.when(F.length(piece(0)) == 2, F.concat(F.lit("20"), piece(0))).otherwise(piece(0))
+    df = df.withColumns({"_td_m": month, "_td_y": year, "_td_h": part(4).try_cast("int"), "_td_half": part(8)})
+    # One text that the cast reads or refuses: it knows the days of months and the bounds of the clock.
     h, half = F.col("_td_h"), F.col("_td_half")
-    hour = F.when(half == "", h).otherwise(h % 12 + F.when(half == "P", 12).otherwise(0))
-    valid = (F.col("_td_d") >= 1) & (F.col("_td_d") <= F.day(F.last_day("_td_first"))) & (h < 24) & (F.col("_td_mi") < 60) & (F.col("_td_s") < 60) & ((half == "") | h.between(1, 12))
-    day = (F.unix_date("_td_first") + F.col("_td_d") - 1).cast("long")
-    wall = day * DAY_US + (hour * 3600 + F.col("_td_mi") * 60 + F.col("_td_s")).cast("long") * SEC_US + F.col("_td_us")
-    df = df.withColumn("_td_wall", F.when(valid, wall))
+    hour = F.when(F.col("_td_half") == "", h).when(h.between(1, 12), h % 12 + F.when(half == "P", 12).otherwise(0)).otherwise(99)
+    clock = F.concat(F.lit(" "), hour, F.lit(":"), part(5), F.lit(":"), F.when(part(6) == "", F.lit("00")).otherwise(part(6)), F.lit("."), F.when(part(7) == "", F.lit("0")).otherwise(F.substring(part(7), 1, 6)))
+    text = F.concat(F.col("_td_y"), F.lit("-"), F.col("_td_m"), F.lit("-"), piece(2), F.when(part(4) == "", F.lit(" 0:0:0")).otherwise(clock), F.lit("Z"))
+    df = df.withColumn("_td_wall", F.when(F.col("_td_y") != "0000", F.unix_micros(text.try_cast("timestamp"))))
 
     df = df.withColumns({"_td_z": F.regexp_replace(F.coalesce(part(9), F.lit("")), "^(GMT|UTC)(?=[+-])", ""), "_td_in": F.coalesce(part(10), F.lit(""))})
     z, inside = F.col("_td_z"), F.col("_td_in")
