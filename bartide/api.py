@@ -54,6 +54,10 @@ class Reader:
     def features(self, name: str, features: list[str], **kwargs) -> dict[str, DataFrame]:
         return {f: self.load(name, feature=f, **kwargs) for f in features}
 
+    def load_features(self, name: str, symbols=None, start=None, end=None, limit: int | None = None) -> DataFrame:
+        """The stored features of a dataset that isn't a matrix (an order book's): another name of ``load``."""
+        return self.load(name, symbols, start, end, limit)
+
     def ohlcv(self, name: str, symbols=None, start=None, end=None) -> DataFrame:
         """Long OHLCV of a matrix dataset, rows with any null left out; bounds repaired where the dataset asks for it."""
         ds = dataset(name)
@@ -70,6 +74,7 @@ class Reader:
 
 
 def _normal(df: DataFrame, ds: Dataset) -> DataFrame:
+    df = df.transform(ds.normalise) if ds.normalise else df
     if ds.kind != "candle":
         return df
     casts = {p: F.col(p).try_cast("double") for p in PRICES}

@@ -44,6 +44,23 @@ def seconds_between(a: str, b: str) -> Column:
     return F.expr(f"timestampdiff(SECOND, `{a}`, `{b}`)")
 
 
+def last_closed(now: Column, seconds: int) -> Column:
+    """The start of the last period that has ended by ``now``."""
+    return add_seconds(floor_time(now, seconds), -seconds)
+
+
+def stream_price(c: Column) -> Column:
+    """A price of a stream bar: two decimals, half to even; 0 where there is none."""
+    return F.bround(F.coalesce(c, F.lit(0.0)), 2)
+
+
+def dated_contract(symbol: Column, pairs: list[str] | None = None) -> Column:
+    """Whether a symbol names a dated contract (PAIR_yymmdd, PAIR in USDT), of one of ``pairs`` if given."""
+    s = F.upper(F.trim(symbol))
+    named = s.rlike(r"^[A-Z0-9]+USDT_\d{6}$")
+    return named if pairs is None else named & F.split_part(s, F.lit("_"), F.lit(1)).isin([p.upper() for p in pairs])
+
+
 def mid(bid: Column, ask: Column) -> Column:
     return (bid + ask) / 2
 

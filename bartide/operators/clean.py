@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bartide.functions.market import epoch_to_time, floor_time, no_nan, strict_greatest, strict_least
+from bartide.functions.market import epoch_to_time, floor_time, last_closed, no_nan, strict_greatest, strict_least
 
 PRICES = ("open", "high", "low", "close")
 #: Other names of candle columns.
@@ -17,12 +17,21 @@ CANDLE_COLUMNS = ("time", "symbol", "open", "high", "low", "close", "volume", "c
 
 
 def keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key: the one that arrived last (largest ``order``). A max per key, combined before the shuffle."""
-    return _keep(df, keys, F.max_by(F.struct(*df.columns), order))
+    """One row per key: the one that arrived last (largest ``order``). A max per key, combined before the shuffle.
+
+    Rows without an order stay only where their key has no other; ties are broken by content."""
+    known = F.col(order).isNotNull()
+    return _keep(df, keys, F.max_by(F.struct(*df.columns), F.struct(known, order, _content(df))))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    return _keep(df, keys, F.min_by(F.struct(*df.columns), order))
+    """As ``keep_last``, the smallest ``order``."""
+    unknown = F.col(order).isNull()
+    return _keep(df, keys, F.min_by(F.struct(*df.columns), F.struct(unknown, order, _content(df))))
+
+
+def _content(df: DataFrame) -> Column:
+    return F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
 
 
 def _keep(df: DataFrame, keys: list[str], best: Column) -> DataFrame:
@@ -68,6 +77,41 @@ def ohlc_columns(df: DataFrame, payload: str) -> DataFrame:
     return bars.withColumnsRenamed({"o": "open", "h": "high", "l": "low", "c": "close", "v": "volume"}).withColumn("time", F.timestamp_seconds("t").cast("timestamp_ntz")).drop("t")
 
 
+def ohlc_rows(df: DataFrame, payload: str) -> DataFrame:
+    """A JSON object with an array of bars under data, candles or ohlc, whose fields go by long or short names, as one row per
+    bar; a time is epoch seconds or text. Texts that can't be read are null."""
+    bar = "struct<time:string,t:string," + ",".join(f"{n}:string,{n[0]}:string" for n in (*PRICES, "volume")) + ">"
+    parsed = df.withColumn("_j", F.from_json(payload, ", ".join(f"{k} array<{bar}>" for k in ("data", "candles", "ohlc"))))
+    bars = parsed.select(*[c for c in df.columns if c != payload], F.explode(F.coalesce("_j.data", "_j.candles", "_j.ohlc")).alias("_b"))
+    time = F.coalesce("_b.time", "_b.t")
+    at = F.coalesce(F.timestamp_seconds(time.try_cast("long")).cast("timestamp_ntz"), time.try_cast("timestamp_ntz"))
+    return bars.select(
+        *[c for c in df.columns if c != payload], at.alias("time"),
+        *[F.coalesce(F.col(f"_b.{n}"), F.col(f"_b.{n[0]}")).try_cast("double").alias(n) for n in (*PRICES, "volume")],
+    )
+
+
+def vendor_bars(df: DataFrame, zone: str) -> DataFrame:
+    """Parsed bars (time in UTC) on the wall clock of ``zone``: rows without time or a price are dropped, a lacking volume is 0, a
+    negative one drops the row."""
+    out = df.withColumns({"time": F.convert_timezone(F.lit("UTC"), F.lit(zone), "time"), "volume": F.coalesce("volume", F.lit(0.0)).cast("long")})
+    return out.dropna(subset=["time", *PRICES]).where("volume >= 0")
+
+
+def daily_batch(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Daily bars of a batch reply, one JSON object per symbol with ``values`` [{datetime, open, ...}]: the last of a day's rows stays."""
+    bar = "struct<datetime:string," + ",".join(f"{n}:string" for n in (*PRICES, "volume")) + ">"
+    rows = df.select("symbol", F.posexplode(F.from_json(payload, f"values array<{bar}>")["values"]).alias("_at", "_b"))
+    bars = rows.select("symbol", F.col("_b.datetime").try_cast("timestamp_ntz").alias("time"), *[F.col(f"_b.{n}").try_cast("double").alias(n) for n in (*PRICES, "volume")], "_at")
+    return keep_last(bars.where("time is not null"), ["symbol", "time"], "_at").drop("_at").withColumn("is_closed", F.lit(True))
+
+
+def closed(df: DataFrame, time: str, now, step_s: int) -> DataFrame:
+    """Rows of periods that have ended by ``now``: those up to its period's start less one period."""
+    at = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
+    return df.where(F.col(time) <= last_closed(at, step_s))
+
+
 def resample(df: DataFrame, symbol: str, time: str, seconds: int, order: str, price: str | None = None, volume: str = "volume") -> DataFrame:
     """Bars of ``seconds``: first, greatest, least, last price and summed volume; ticks (``price``) or finer bars."""
     o, h, lo, c = (price,) * 4 if price else PRICES

@@ -79,6 +79,33 @@ def resume(df: DataFrame, symbols: DataFrame, backfill_start, step_s: int, overl
     return joined.select("symbol", F.greatest(start, back).alias("fetch_from"), "_first", "_latest").withColumnsRenamed({"_first": "first_time", "_latest": "latest_time"})
 
 
+def resume_latest(symbols: DataFrame, latest: list[DataFrame], backfill_start, overlap_s: int) -> DataFrame:
+    """symbol, latest_time, fetch_from: the latest time that any source knows (``latest``: symbol, latest_time; a manifest, the
+    storage, older files) less the overlap, the backfill start where none does."""
+    known = latest[0].select("symbol", "latest_time")
+    for other in latest[1:]:
+        known = known.unionByName(other.select("symbol", "latest_time"))
+    found = symbols.select("symbol").distinct().join(known.groupBy("symbol").agg(F.max("latest_time").alias("latest_time")), "symbol", "left")
+    return found.withColumn("fetch_from", F.coalesce(add_seconds(F.col("latest_time"), -overlap_s), F.lit(backfill_start).cast("timestamp_ntz")))
+
+
+def with_head(df: DataFrame, step_s: int, expected, **names) -> DataFrame:
+    """Gaps with a head gap where a source's first reading is later than ``expected``: symbol, prev, next, gap_minutes."""
+    inner = steps(df, **names).where(F.col("seconds") > step_s).select("symbol", "prev", "next", F.expr("seconds div 60 - 1").alias("gap_minutes"))
+    name, time = names.get("symbol", "symbol"), names.get("time", "time")
+    start = F.lit(expected).cast("timestamp_ntz")
+    firsts = df.where(F.col(time).isNotNull()).groupBy(F.col(name).alias("symbol")).agg(F.min(time).alias("next")).where(F.col("next") > start)
+    minutes = F.expr("timestampdiff(SECOND, prev, next) div 60")
+    return firsts.select("symbol", F.lit(expected).cast("timestamp_ntz").alias("prev"), "next").withColumn("gap_minutes", minutes).unionByName(inner)
+
+
+def ratio_scale(a: DataFrame, b: DataFrame, value: str = "volume", highest: float = 1000.0) -> DataFrame:
+    """symbol, n, ratio: the median of a's value over b's at equal times, of ratios in (0, highest); 1 where there is none."""
+    both = a.select("symbol", "time", F.col(value).alias("_a")).join(b.select("symbol", "time", F.col(value).alias("_b")), ["symbol", "time"])
+    ratio = F.try_divide("_a", "_b")
+    return both.groupBy("symbol").agg(F.count("*").alias("n"), F.coalesce(F.median(F.when((ratio > 0) & (ratio < highest), ratio)), F.lit(1.0)).alias("ratio"))
+
+
 def proxy_fill(spot: DataFrame, other: DataFrame, step_s: int, most_missing: int, context_s: int, scaled: list[str], copied: list[str], tag: str = "proxy_fill", **expected) -> DataFrame:
     """Rows for the gaps of ``spot`` that ``other`` covers completely: ``copied`` as they are, ``scaled`` times the median ratio of
     both within ``context_s`` around the gap (ratios in (0, 1000); 1 where there is none).

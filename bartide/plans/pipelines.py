@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide import validate
-from bartide.functions.market import add_seconds, epoch_to_time, floor_time
-from bartide.operators import clean, gaps
+from bartide.functions.market import add_seconds, delivery_date, epoch_to_time, floor_time, last_closed
+from bartide.operators import clean, gaps, matrix
 from bartide.operators.chunks import epoch_us
 from bartide.registry import Dataset
 from bartide.session import cut
@@ -54,7 +54,7 @@ def _fetched(spark: SparkSession, todo: DataFrame, root: str, ds: Dataset, fetch
 
 
 def repair_gaps(
-    spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, since=None, until=None, most_missing: int | None = None, dry_run: bool = False,
+    spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, since=None, until=None, most_missing: int | None = None, dry_run: bool = False, max_gaps: int = 0,
     start=None, end=None, symbols: DataFrame | None = None,
 ) -> dict:
     """Fetch exactly the missing ranges of ``ds`` and merge what comes. Returns gaps, missing, rows_written. With ``start``, ``end``
@@ -65,6 +65,8 @@ def repair_gaps(
     found = gaps.ranges(lake.scan(spark, root, ds, None, since, until, ["symbol", ds.time]), step, start=start, end=end, symbols=symbols, floor_s=ds.floor_s, time=ds.time)
     if most_missing is not None:
         found = found.where(F.col("missing") <= most_missing)
+    if max_gaps:  # the first ones only; 0 is all
+        found = found.orderBy("symbol", "missing_start").limit(max_gaps)
     found = cut(found, "gaps")
     n = found.agg(F.count("*").alias("gaps"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing")).first()
     if dry_run or not n.gaps:
@@ -73,17 +75,31 @@ def repair_gaps(
     return {"gaps": n.gaps, "missing": n.missing, "rows_written": wrote["rows_written"]}
 
 
+def clipped(todo: DataFrame, symbols: DataFrame, end, step_s: int) -> DataFrame:
+    """symbol, from, to: up to ``end``, or to the last period before a contract's delivery if that is earlier."""
+    known = symbols.select("symbol", "delivery_time") if "delivery_time" in symbols.columns else symbols.select("symbol", F.lit(None).cast("timestamp_ntz").alias("delivery_time"))
+    known = known.groupBy("symbol").agg(F.max("delivery_time").alias("_d"))
+    delivery = F.coalesce("_d", delivery_date(F.col("symbol")).cast("timestamp_ntz"))
+    last = F.least(F.lit(end).cast("timestamp_ntz"), add_seconds(delivery, -step_s))  # nulls don't count
+    return todo.join(known, "symbol", "left").select("symbol", F.col("fetch_from").alias("from"), last.alias("to")).where("from <= to")
+
+
 def fetch_tail(spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, start, end, symbols: DataFrame, overlap_s: int = 600) -> dict:
-    """Fetch each of ``symbols`` from where ``gaps.resume`` says to ``end``, the last closed period; ``start``: of the backfill."""
+    """Fetch each of ``symbols`` from where ``gaps.resume`` says to ``end``, the last closed period; ``start``: of the backfill.
+
+    A contract that is delivered ends a period before its delivery: ``symbols`` may have delivery_time, else the symbol's own date counts."""
     held = lake.scan(spark, root, ds, columns=["symbol", ds.time]) if sinks.exists(spark, f"{root}/{ds.path}") else spark.createDataFrame([], f"symbol string, `{ds.time}` timestamp_ntz")
-    todo = gaps.resume(held, symbols, start, ds.step_s or 60, overlap_s, time=ds.time).select("symbol", F.col("fetch_from").alias("from"), F.lit(end).cast("timestamp_ntz").alias("to"))
+    todo = clipped(gaps.resume(held, symbols, start, ds.step_s or 60, overlap_s, time=ds.time), symbols, end, ds.step_s or 60)
     return _fetched(spark, cut(todo, "tail"), root, ds, fetch, source, ingested_at)
 
 
 def ingest_archives(spark: SparkSession, zips: str, root: str, ds: Dataset, source: str, ingested_at: str) -> dict:
-    """All kline archives below ``zips`` into the lake; the symbol is that of the archive's name."""
-    raw = archives.read_zips(spark, zips, archives.KLINE_COLUMNS).withColumn("symbol", archives.key_parts(F.col("archive"))["symbol"])
-    return _write(_candles(raw, source, ingested_at, ds.floor_s), root, ds)
+    """All kline archives below ``zips`` into the lake; the symbol is that of the archive's name. ``rejected``: number of archives that are
+    damaged, ``rejects`` a few of them; what could be read of them is in the lake."""
+    rows, errors = archives.split_errors(cut(archives.read_zips(spark, zips, archives.KLINE_COLUMNS), "archives"))
+    rows = rows.withColumn("symbol", archives.key_parts(F.col("archive"))["symbol"])
+    wrote = _write(_candles(rows, source, ingested_at, ds.floor_s), root, ds)
+    return wrote | {"rejected": errors.count(), "rejects": [tuple(r) for r in errors.orderBy("archive").limit(20).collect()]}
 
 
 def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_missing: int, context_s: int = 6 * 3600, tag: str = "proxy_fill", ingested_at: str | None = None, **expected) -> dict:
@@ -107,6 +123,78 @@ def fill_from(spark: SparkSession, root: str, ds: Dataset, other: Dataset, most_
     return _write(rows, root, ds)
 
 
+def fetch_archives(spark: SparkSession, root: str, ds: Dataset, listing: Callable, download: Callable, prefixes: list[str], start, end, source: str, ingested_at: str) -> dict:
+    """Archives listed below ``prefixes`` whose day or month the lake lacks: list, leave out what is stored, download and take in.
+
+    ``listing(prefix, marker)`` gives a page of the listing, ``download(key)`` an archive's bytes; both run on the executors. A month
+    counts as stored if any of its days is."""
+    names = spark.createDataFrame([(p,) for p in prefixes], "prefix string").repartition(max(1, len(prefixes)))
+    keys = archives.listed(names, listing).where("kind = 'key' and name like '%.zip'").select(F.col("name").alias("key"))
+    if sinks.exists(spark, f"{root}/{ds.path}"):
+        days = lake.scan(spark, root, ds, columns=["symbol", ds.time]).select("symbol", F.col(ds.time).cast("date").alias("date")).distinct()
+        stored = days.union(days.select("symbol", F.trunc("date", "MM"))).distinct()
+    else:
+        stored = spark.createDataFrame([], "symbol string, date date")
+    wanted = cut(archives.wanted_keys(keys, "key", start, end, stored).select("key"), "keys")
+    n = wanted.count()
+    if not n:
+        return {"archives": 0, "rows_written": 0, "latest_time": None, "rejected": 0, "rejects": []}
+    raw = cut(archives.download(wanted.repartition(min(n, 2000)), download, archives.KLINE_COLUMNS), "archives")
+    rows, errors = archives.split_errors(raw)
+    rows = rows.withColumn("symbol", archives.key_parts(F.col("archive"))["symbol"])
+    wrote = _write(_candles(rows, source, ingested_at, ds.floor_s), root, ds)
+    return {"archives": n, **wrote, "rejected": errors.count(), "rejects": [tuple(r) for r in errors.orderBy("archive").limit(20).collect()]}
+
+
+def cascade(
+    spark: SparkSession, root: str, ds: Dataset, listing: Callable, download: Callable, monthly: list[str], daily: list[str], fetch: Callable, source: str, ingested_at: str,
+    start: datetime, now: datetime, symbols: DataFrame, proxy: Dataset | None = None, most_missing: int = 1440, overlap_s: int = 600, state: sinks.State | None = None,
+) -> dict:
+    """Monthly archives, daily archives, the tail up to the last closed period, normalisation in place, then audit, repair, audit, proxy
+    fill, audit. ``symbols``: symbol and perhaps delivery_time. ``state`` keeps the latest time of each run."""
+    step = ds.step_s or 60
+    end = spark.range(1).select(last_closed(F.lit(now).cast("timestamp_ntz"), step)).first()[0]
+    steps = {"monthly": fetch_archives(spark, root, ds, listing, download, monthly, start, end, f"{source}_monthly", ingested_at)}
+    steps["daily"] = fetch_archives(spark, root, ds, listing, download, daily, start, end, f"{source}_daily", ingested_at)
+    steps["tail"] = fetch_tail(spark, root, ds, fetch, f"{source}_rest", ingested_at, start, end, symbols, overlap_s)
+    if not sinks.exists(spark, f"{root}/{ds.path}"):
+        return steps | {"audit": {"valid": False, "row_count": 0, "errors": ["no rows"], "info": {}}}
+    steps["normalise"] = sinks.normalise(spark, f"{root}/{ds.path}", "close_time", ds.floor_s or step)
+    expected = {"start": start, "symbols": symbols.select("symbol")}
+    audit = lambda: validate.report(lake.scan(spark, root, ds), ds, **expected)
+    steps["audit"] = audit()
+    if steps["audit"]["info"].get("gaps"):
+        steps["repair"] = repair_gaps(spark, root, ds, fetch, f"{source}_rest", ingested_at, most_missing=most_missing, **expected)
+        steps["audit"] = audit()
+    if proxy is not None and steps["audit"]["info"].get("gaps"):
+        steps["proxy"] = fill_from(spark, root, ds, proxy, most_missing, ingested_at=ingested_at, **expected)
+        steps["audit"] = audit()
+    if state is not None:
+        state.update(ds.name, latest_time=steps["audit"]["info"].get("max_time"), run_at=ingested_at, gaps=steps["audit"]["info"].get("gaps"))
+    return steps
+
+
+def update_matrix(spark: SparkSession, root: str, ds: Dataset, new: DataFrame, universe: DataFrame | None = None) -> dict:
+    """Merge new daily bars (symbol, time, features) into a long matrix: new cells where there are any, the old ones else; only the
+    years that ``new`` touches are rewritten."""
+    path = f"{root}/{ds.path}"
+    new = cut(new.where("time is not null and symbol is not null").withColumn("year", F.year("time")), "matrix-new")
+    if sinks.exists(spark, path):
+        old = sinks.touched(spark, path, new, ["year"])
+    else:
+        old = None
+    out = cut(matrix.merged(new.select("symbol", "time", *matrix.FEATURES), None if old is None else old.select("symbol", "time", *matrix.FEATURES), universe).withColumn("year", F.year("time")), "matrix")
+    out.repartition("year", "symbol").sortWithinPartitions("year", "symbol", "time").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    return {"cells": out.count(), "years": [r.year for r in out.select("year").distinct().orderBy("year").collect()]}
+
+
+def rebuild_matrix(spark: SparkSession, root: str, ds: Dataset, candles: DataFrame, universe: DataFrame, order: str) -> dict:
+    """The matrix anew from daily bars; symbols of the universe without any are reported."""
+    long, missing = matrix.rebuilt(candles, universe, order)
+    long.withColumn("year", F.year("time")).repartition("year", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(f"{root}/{ds.path}")
+    return {"missing_symbols": [r.symbol for r in missing.orderBy("symbol").collect()]}  # of the universe, a list of names
+
+
 def sync(
     spark: SparkSession, zips: str, root: str, ds: Dataset, fetch: Callable | None, source: str, ingested_at: str, proxy: Dataset | None = None, most_missing: int = 1440,
     start: datetime | None = None, end: datetime | None = None, symbols: list[str] | None = None, overlap_s: int = 600,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -19,6 +22,7 @@ class Dataset:
     kind: str = "candle"  # candle, orderbook, option, matrix
     floor_s: int | None = None
     required: tuple[str, ...] = field(default=("time", "symbol", "open", "high", "low", "close", "volume"))
+    normalise: Callable[[DataFrame], DataFrame] | None = None  # applied to rows as they are read, before casts
 
 
 _VN = "Asia/Ho_Chi_Minh"
@@ -38,6 +42,12 @@ DATASETS = [
 _BY_NAME = {n: d for d in DATASETS for n in (d.name, *d.aliases)}
 
 
+def register(ds: Dataset) -> Dataset:
+    """Add a dataset, or put it in place of one of its names."""
+    _BY_NAME.update({n.lower(): ds for n in (ds.name, *ds.aliases)})
+    return ds
+
+
 def dataset(name: str) -> Dataset:
     try:
         return _BY_NAME[name.lower()]

@@ -8,11 +8,15 @@ would swap them silently."""
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide.registry import Dataset
+from bartide.session import cut
+from bartide.sources import files
 
 
 def folder_filter(grain: str, start: datetime | None, end: datetime | None) -> Column | None:
@@ -41,12 +45,18 @@ def symbol_list(symbols: str | list[str] | None) -> list[str] | None:
     return [s.strip().upper() for s in ([symbols] if isinstance(symbols, str) else symbols)]
 
 
+def _stored(spark: SparkSession, path: str, partition: str, symbols: list[str]) -> list[str]:
+    """The folder of each symbol: in capitals if there is one, else as written, else in small letters."""
+    held = {unquote(n.split("=", 1)[1]) for n in files.names(spark, path) if n.startswith(f"{partition}=")}
+    variants = [(s.strip().upper(), s.strip(), s.strip().lower()) for s in symbols]
+    return [next((v for v in vs if v in held), vs[0]) for vs in variants]
+
+
 def scan(spark: SparkSession, root: str, ds: Dataset, symbols: str | list[str] | None = None, start: datetime | None = None, end: datetime | None = None, columns: list[str] | None = None) -> DataFrame:
     """The rows of ``ds`` with start <= time <= end, lazily; only the folders and columns needed are read."""
     df = spark.read.parquet(f"{root}/{ds.path}")
-    names = symbol_list(symbols)
-    if names is not None:
-        df = df.where(F.col(ds.partition).isin(names))
+    if symbols is not None:
+        df = df.where(F.col(ds.partition).isin(_stored(spark, f"{root}/{ds.path}", ds.partition, [symbols] if isinstance(symbols, str) else symbols)))
     folders = folder_filter(ds.grain, start, end)
     if folders is not None:
         df = df.where(folders)
@@ -67,26 +77,50 @@ def latest(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
     return spark.read.parquet(f"{root}/{ds.path}").groupBy(F.col(ds.partition).alias("symbol")).agg(F.max(ds.time).alias("latest_time"))
 
 
-def csv_by_header(spark: SparkSession, root: str, columns: dict[str, str], aliases: dict[str, str] | None = None, most_headers: int = 1000) -> DataFrame:
-    """All .csv and .csv.gz files below ``root`` as ``columns`` (name to type), read in one group per header.
-
-    Each distinct header is one read; lacking columns are null, values that can't be cast too. File and header lists are
-    metadata (at most ``most_headers`` headers, else this raises); rows never reach the driver."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv*").text(root).withColumn("_f", F.col("_metadata.file_path"))
-    first = lines.withColumn("_at", F.col("_metadata.file_block_start")).where("_at = 0").groupBy("_f").agg(F.first("value").alias("header"))
-    groups = first.groupBy("header").agg(F.collect_list("_f").alias("files")).limit(most_headers + 1).collect()
-    if len(groups) > most_headers:
-        raise ValueError(f"more than {most_headers} different headers")
-    out = None
-    for g in sorted(groups, key=lambda r: r.header):
+def _headers(batches):
+    """Of each file (path) its first line, or why it can't be read."""
+    from pyarrow import fs
+
+    for pdf in batches:
+        rows = []
+        for path in pdf["path"]:
+            try:
+                store, at = fs.FileSystem.from_uri(unquote(path))
+                with store.open_input_stream(at, compression="gzip" if at.endswith(".gz") else None) as f:
+                    text, more = b"", b"x"
+                    while more and b"\n" not in text:
+                        text += (more := f.read(1 << 16))
+                    if at.endswith(".gz"):
+                        while f.read(1 << 20):  # a damaged archive fails at its end
+                            pass
+                rows.append((path, text.split(b"\n", 1)[0].decode("utf-8-sig").strip("\r"), None))
+            except Exception as e:
+                rows.append((path, None, f"{type(e).__name__}: {e}"))
+        yield pd.DataFrame(rows, columns=["path", "header", "error"])
+
+
+def csv_files(spark: SparkSession, root: str) -> DataFrame:
+    """path, header, error of all .csv and .csv.gz files below ``root``; only first lines are read (of archives, all, to see that they are whole)."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,csv.gz}").load(root).select("path")
+    return found.mapInPandas(_headers, "path string, header string, error string")
+
+
+def csv_by_header(spark: SparkSession, root: str, columns: dict[str, str], aliases: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """All .csv and .csv.gz files below ``root`` as ``columns`` (name to type), one read per header; and the files that can't be
+    read (path, error), which are skipped. Files without a byte are none.
+
+    Lacking columns are null, values that can't be cast too. Names of files reach the driver header by header, as they do in
+    any read of them; rows never do."""
+    listed = cut(csv_files(spark, root), "headers")
+    out = spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in columns.items()))
+    for g in listed.where("header is not null").select("header").distinct().orderBy("header").toLocalIterator():
         names = [(aliases or {}).get(n.strip().strip('"'), n.strip().strip('"')) for n in g.header.split(",")]
         schema = ", ".join(f"`{n}` string" for n in names)
-        part = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(sorted(g.files))
+        paths = [unquote(r.path) for r in listed.where(F.col("header") == g.header).select("path").orderBy("path").collect()]
+        part = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(paths)
         part = part.select(*[(F.col(f"`{c}`").try_cast(t) if c in names else F.lit(None).cast(t)).alias(c) for c, t in columns.items()])
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in columns.items()))
-    return out
+        out = out.unionByName(part)
+    return out, listed.where("error is not null").select("path", "error")
 
 
 def wide_csv(spark: SparkSession, path: str, value: str) -> DataFrame:

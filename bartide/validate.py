@@ -83,20 +83,47 @@ def report(df: DataFrame, name: str | Dataset, **expected) -> dict:
         return out
     out["info"] = {k: v for k, v in r.items() if k != "row_count"}
     out["errors"] = [f"{text}: {r[k]}" for k, text in texts.items() if r[k]]
-    if ds.step_s and ds.kind == "candle":
-        if expected:
-            found = gaps.ranges(df, ds.step_s, floor_s=None, **expected).groupBy("symbol").agg(F.count("*").alias("n_gaps"), F.max("seconds").alias("max_gap_s"))
-        else:
-            found = gaps.scan(df, ds.step_s, floor_s=None)
-        total = found.agg(F.sum("n_gaps").alias("n"), F.max("max_gap_s").alias("m")).first()
-        out["info"] |= {"gaps": total.n or 0, "max_gap_s": total.m}
+    if ds.step_s and ds.kind != "option":
+        found = gaps.ranges(df, ds.step_s, floor_s=None, time=ds.time, **expected)
+        total = found.agg(F.count("*").alias("n"), F.max("seconds").alias("m"), F.count_distinct("symbol").alias("s")).first()
+        out["info"] |= {"gaps": total.n, "max_gap_s": total.m}
         if total.n:
-            some = found.where("n_gaps > 0").orderBy(F.desc("n_gaps"), "symbol").limit(5).collect()
-            out["errors"].append("gaps: " + ", ".join(f"{x.symbol} {x.n_gaps}" for x in some))
+            some = example_gaps(found).collect()
+            out["info"]["examples"] = [{k: str(r[k]) if r[k] is not None else None for k in ("symbol", "prev", "next", "missing")} for r in some]
+            out["errors"].append(f"gaps: {total.n} in {total.s} symbols, first {some[0].symbol} from {some[0].missing_start}")
     out["valid"] = not out["errors"]
     return out
 
 
+def example_gaps(found: DataFrame, n: int = 5) -> DataFrame:
+    """The first gap of each symbol, of the ``n`` symbols that come first."""
+    first = found.groupBy("symbol").agg(F.min_by(F.struct(*[c for c in found.columns if c != "symbol"]), "missing_start").alias("_g"))
+    return first.orderBy("symbol").limit(n).select("symbol", "_g.*")
+
+
+def audit(df: DataFrame, step_s: int, expected_start=None, since=None) -> DataFrame:
+    """Per symbol: rows, n_times, min_time, max_time, duplicates, n_gaps, max_gap_minutes, gap_minutes (with the head gap from
+    ``expected_start``); where there are prices also ohlc_bad and negative rows. ``since``: rows before it don't count."""
+    df = df.where(F.col("time").isNotNull() & F.col("symbol").isNotNull())
+    df = df if since is None else df.where(F.col("time") >= F.lit(since).cast("timestamp_ntz"))
+    keyed = [F.count("*").alias("_n")]
+    if "open" in df.columns:
+        o, h, lo, c, v = (no_nan(F.col(k).cast("double")) for k in ("open", "high", "low", "close", "volume"))
+        keyed += [F.count_if((h < F.greatest(o, c, lo)) | (lo > F.least(o, c, h))).alias("ohlc_bad"), F.count_if((F.least(o, h, lo, c) < 0) | (v < 0)).alias("negative")]
+    per = df.groupBy("symbol", "time").agg(*keyed)
+    sums = per.groupBy("symbol").agg(
+        F.sum("_n").alias("rows"), F.count("*").alias("n_times"), F.min("time").alias("min_time"), F.max("time").alias("max_time"), F.sum(F.col("_n") - 1).alias("duplicates"),
+        *[F.sum(c).alias(c) for c in ("ohlc_bad", "negative") if c in per.columns],
+    )
+    if expected_start is None:
+        found = gaps.steps(df, floor_s=None).where(F.col("seconds") > step_s).select("symbol", F.expr("seconds div 60 - 1").alias("gap_minutes"))
+    else:
+        found = gaps.with_head(df, step_s, expected_start, floor_s=None)
+    found = found.groupBy("symbol").agg(F.count("*").alias("n_gaps"), F.max("gap_minutes").alias("max_gap_minutes"), F.sum("gap_minutes").alias("gap_minutes"))
+    zero = F.lit(0).cast("long")
+    return sums.join(found, "symbol", "left").withColumns({c: F.coalesce(c, zero) for c in ("n_gaps", "max_gap_minutes", "gap_minutes")})
+
+
 def _matrix(df: DataFrame, out: dict) -> dict:
     first, rest = df.columns[0], df.columns[1:]
     if not isinstance(df.schema[first].dataType, (T.DateType, T.TimestampNTZType, T.TimestampType)):

@@ -1,13 +1,15 @@
 """Golden values and properties of the engine's own operators."""
 
+import gzip
 import json
 import zipfile
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from bartide import api, validate
+from bartide import api, registry, validate
 from bartide.functions import calendar, market
 from bartide.operators import clean, gaps, matrix, options, orderbook
 from bartide.registry import Dataset, dataset
@@ -41,6 +43,33 @@ def test_upsert_keeps_last(spark, tmp_path):
     assert sinks.prune(spark, path, datetime(2026, 6, 30)) == {"touched": 0, "removed": 0}
 
 
+def test_rows_without_an_order(spark, tmp_path):
+    rows = [("A", 1, None), ("A", 2, 5), ("A", 3, 4), ("B", 4, None), ("C", 5, None), ("C", 6, None)]
+    df = spark.createDataFrame(rows, "k string, v int, o int")
+    last, first = ({r.k: r.v for r in keep(df, ["k"], "o").collect()} for keep in (clean.keep_last, clean.keep_first))
+    assert last["A"] == 2 and first["A"] == 3 and last["B"] == first["B"] == 4 and last["C"] in (5, 6)
+    assert {r.k: r.v for r in clean.keep_last(df.orderBy(F.desc("v")), ["k"], "o").collect()} == last  # ties are told by content
+    raw = spark.createDataFrame([("1709251200000", "1", "2", "1", "1.5")], "open_time string, open string, high string, low string, close string")
+    assert [(r.time, r.close, r.close_time) for r in clean.klines(raw, "A", "s", "now").collect()] == [(datetime(2024, 3, 1), 1.5, None)]
+    path = str(tmp_path / "lake")
+    sinks.upsert(candles(spark, [(T0, "A", [1] * 4, 1)]).withColumn("n", F.lit(None).cast("long")), path, ["symbol", "time"], order="n")
+    sinks.upsert(candles(spark, [(T0, "A", [2] * 4, 1)]).withColumn("n", F.lit(None).cast("long")), path, ["symbol", "time"], order="n")
+    assert [r.open for r in spark.read.parquet(path).collect()] == [2.0]
+
+
+def test_an_upsert_reads_only_its_folders(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    rows = [(T0 + timedelta(days=31 * i), s, [1] * 4, 1) for i in range(6) for s in ("A", "B/C d")]
+    sinks.upsert(candles(spark, rows), path, ["symbol", "time"])
+    new, folders = sinks._folders(candles(spark, [(T0, "B/C d", [3] * 4, 1), (T0, "new", [1] * 4, 1)]), "symbol", "time", "month")
+    read = sinks.touched(spark, path, new, folders)
+    assert len(read.inputFiles()) == 1 and [(r.symbol, r.time) for r in read.collect()] == [("B/C d", T0)]
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "lake").rglob("*.parquet")}
+    sinks.upsert(candles(spark, [(T0, "B/C d", [3] * 4, 1)]), path, ["symbol", "time"])
+    assert sum(f.exists() and f.stat().st_mtime_ns == t for f, t in before.items()) == len(before) - 1
+    assert spark.read.parquet(path).where("open = 3").count() == 1 and spark.read.parquet(path).count() == 12
+
+
 def test_normalise_partitions(spark, tmp_path):
     path = str(tmp_path / "lake")
     rows = [(T0 + timedelta(seconds=7), "A", [10, 9, 11, 12], 1), (T0, "A", [1, 1, 1, 1], 1), (T0 + timedelta(days=40), "A", [1, 2, 1, 1], 1)]
@@ -59,7 +88,8 @@ def test_klines_and_archives(spark, tmp_path):
         with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as z:
             z.writestr(f"{name}.csv", text)
     (tmp_path / "broken.zip").write_bytes(b"not a zip")
-    raw = archives.read_zips(spark, str(tmp_path), archives.KLINE_COLUMNS)
+    raw, errors = archives.split_errors(archives.read_zips(spark, str(tmp_path), archives.KLINE_COLUMNS))
+    assert [(r.archive[-10:], r.error.split(":")[0]) for r in errors.collect()] == [("broken.zip", "BadZipFile")]
     assert sorted((r.archive[-5:], r.number_of_trades) for r in raw.collect()) == [("a.zip", "559"), ("a.zip", "559"), ("b.zip", "559")]
     got = clean.klines(raw.where(F.col("archive").endswith("a.zip")), "BTCUSDT", "archive", "now").orderBy("time").collect()
     assert [r.time for r in got] == [datetime(2018, 1, 1), datetime(2018, 1, 1, 0, 1)]
@@ -70,6 +100,9 @@ def test_klines_and_archives(spark, tmp_path):
     assert [(r.symbol, r.date) for r in parts] == [("BTCUSDT_240329", date(2024, 3, 1)), ("BTCUSDT", date(2024, 3, 15)), (None, None)]
     stored = spark.createDataFrame([("BTCUSDT", date(2024, 3, 15))], "symbol string, date date")
     assert [r.symbol for r in archives.wanted_keys(keys, "key", "2024-03-01", "2024-03-31", stored).collect()] == ["BTCUSDT_240329"]
+    nothing = stored.limit(0)  # a month counts if it is that of the start; a day only from the start on
+    assert sorted(r.symbol for r in archives.wanted_keys(keys, "key", "2024-03-15", "2024-03-31", nothing).collect()) == ["BTCUSDT", "BTCUSDT_240329"]
+    assert [r.symbol for r in archives.wanted_keys(keys, "key", "2024-03-16", "2024-03-31", nothing).collect()] == ["BTCUSDT_240329"]
 
 
 def test_aliases_and_delivery(spark):
@@ -166,6 +199,10 @@ def test_loading(spark, tmp_path):
     assert read.load("crypto_spot_1m", limit=3).count() == 3 and read.load("crypto_spot_1m", end="2025-12-31").count() == 0
     assert sorted(r.symbol for r in lake.discover(spark, str(tmp_path), ds).collect()) == ["AAA", "BBB"]
     assert {r.symbol: r.latest_time for r in lake.latest(spark, str(tmp_path), ds).collect()}["AAA"] == datetime(2026, 1, 1, 0, 1)
+    (tmp_path / ds.path / "symbol=AAA").rename(tmp_path / ds.path / "symbol=aaa")
+    assert read.load("crypto_spot_1m", "Aaa").count() == 3 == read.load_features("crypto_spot_1m", ["bbb"]).count()
+    registry.register(replace(ds, name="hooked", aliases=(), normalise=lambda df: df.withColumn("close", F.lit("7"))))
+    assert {r.close for r in read.load("hooked").collect()} == {7.0}
     with pytest.raises(ValueError):
         read.load("nothing")
     with pytest.raises(ValueError):
@@ -182,8 +219,13 @@ def test_csv_headers_that_drift(spark, tmp_path):
     (tmp_path / "symbol=A").mkdir()
     (tmp_path / "symbol=A/one.csv").write_text("time,symbol,open,volume\n2026-01-01 00:00:00,A,1.5,10\n")
     (tmp_path / "symbol=A/two.csv").write_text("volume,open,time,symbol,extra\n20,2.5,2026-01-02 00:00:00,A,z\nbad,3.5,,A,z\n")
-    got = lake.csv_by_header(spark, str(tmp_path), {"time": "timestamp_ntz", "symbol": "string", "open": "double", "volume": "double", "close": "double"})
-    assert sorted((r.open, r.volume, r.close) for r in got.collect() if r.volume) == [(1.5, 10.0, None), (2.5, 20.0, None)] and got.count() == 3
+    with gzip.open(tmp_path / "symbol=A/three.csv.gz", "wt") as f:
+        f.write("time,open\n2026-01-03,9\n")
+    (tmp_path / "symbol=A/torn.csv.gz").write_bytes((tmp_path / "symbol=A/three.csv.gz").read_bytes()[:20])
+    (tmp_path / "symbol=A/none.csv").write_text("")
+    got, rejects = lake.csv_by_header(spark, str(tmp_path), {"time": "timestamp_ntz", "symbol": "string", "open": "double", "volume": "double", "close": "double"})
+    assert sorted((r.open, r.volume, r.close) for r in got.collect() if r.volume) == [(1.5, 10.0, None), (2.5, 20.0, None)] and got.count() == 4
+    assert [(r.path.rsplit("/", 1)[1], bool(r.error)) for r in rejects.collect()] == [("torn.csv.gz", True)]
     (tmp_path / "w.txt").write_text("date,AAA,BBB\n2026-01-01,1,\n2026-01-02,x,2\n")
     assert sorted((r.symbol, r.close) for r in lake.wide_csv(spark, str(tmp_path / "w.txt"), "close").collect()) == [("AAA", 1.0), ("BBB", 2.0)]
 
@@ -228,8 +270,8 @@ def test_stream_events(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "lake")).count() == 5
 
 
-def test_state(tmp_path):
-    s = sinks.State(str(tmp_path / "s.json"))
+def test_state(spark, tmp_path):
+    s = sinks.State(spark, str(tmp_path / "s.json"))
     s.update("A", latest="x")
     assert s.update("A", n=1, latest=None)["A"] == {"latest": "x", "n": 1}
     (tmp_path / "s.json").write_text("{broken")
