@@ -5,14 +5,16 @@ Views: ticks are ``events`` (ts, event_type, value, the k of props; event_id is
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide import validate
 from bartide.functions import calendar, market
-from bartide.operators import clean, gaps, matrix, options, orderbook
+from bartide.operators import clean, gaps, matrix, options, orderbook, symbols
 from bartide.session import work_path
-from bartide.sources import sinks
+from bartide.sources import lake, sinks
 from bartide.sources.tables import table
 from bartide.streaming import events as stream_events
 
@@ -159,8 +161,7 @@ def epoch_unit_detect(spark, sf):
 
 @query(f"with {_TICKS} select seq, volume, try_cast(price as bigint) as whole from ticks where try_cast(price as bigint) is not null")
 def json_extract_props(spark, sf):
-    t = table(spark, sf, "events").withColumn("k", F.from_json("props", "k bigint")["k"])
-    return t.select(F.col("event_id").alias("seq"), F.col("k").alias("volume"), F.rint("value").cast("bigint").alias("whole")).where("whole is not null")
+    return ticks(spark, sf).select("seq", "volume", F.rint("price").cast("bigint").alias("whole")).where("whole is not null")
 
 
 # Selection.
@@ -169,20 +170,22 @@ def json_extract_props(spark, sf):
 @query(f"""with {_TICKS} select symbol, time, seq from ticks where symbol in ('purchase', 'view') and time >= timestamp '2024-01-05' and time <= timestamp '2024-01-20'
   order by symbol, time, seq limit 500""")
 def range_filter_symbols_limit(spark, sf):
-    t = ticks(spark, sf).where(F.col("symbol").isin("purchase", "view") & F.col("time").between(F.expr("timestamp_ntz '2024-01-05'"), F.expr("timestamp_ntz '2024-01-20'")))
+    t = lake.between(lake.of_symbols(ticks(spark, sf), ["purchase ", "VIEW"]), "time", datetime(2024, 1, 5), datetime(2024, 1, 20))
     return t.orderBy("symbol", "time", "seq").select("symbol", "time", "seq").limit(500)
 
 
 @query(f"with {_TICKS} select symbol, max(time) as latest_time, min(time) as first_time, count(*) as n from ticks group by symbol")
 def latest_per_symbol(spark, sf):
-    return ticks(spark, sf).groupBy("symbol").agg(F.max("time").alias("latest_time"), F.min("time").alias("first_time"), F.count("*").alias("n"))
+    return lake.extent(ticks(spark, sf))
 
 
 @query(f"with {_TICKS} select seq, symbol, time from ticks where time >= (select max(date_trunc('hour', time)) from ticks) - interval 10 day")
 def retention_prune(spark, sf):
-    t = ticks(spark, sf)
-    now = t.agg((F.date_trunc("hour", F.max("time")).cast("timestamp_ntz") - F.expr("interval 10 days")).alias("_from"))
-    return t.join(F.broadcast(now), F.col("time") >= F.col("_from")).select("seq", "symbol", "time")  # one row
+    t, path = ticks(spark, sf), work_path(spark, "retained")
+    t.withColumn("day", F.col("time").cast("date")).write.partitionBy("symbol", "day").parquet(path)
+    keep_from = t.agg((F.date_trunc("hour", F.max("time")).cast("timestamp_ntz") - F.expr("interval 10 days"))).first()[0]
+    sinks.prune(spark, path, keep_from, folders=("symbol", "day"))
+    return spark.read.parquet(path).select("seq", "symbol", "time")
 
 
 _HHMM = "hour(time) * 100 + minute(time)"
@@ -205,46 +208,29 @@ def holiday_anti(spark, sf):
   m as (select upper(trim(symbol)) as symbol, min(pr) as priority from p where symbol is not null group by 1)
   select symbol, priority, row_number() over (order by priority, symbol) as position from m""")
 def ordered_symbols(spark, sf):
-    lists = None
-    for i, n in enumerate(("candle_batch", "candle", "instrument"), 1):
-        part = table(spark, sf, n).select(F.upper(F.trim("symbol")).alias("symbol"), F.lit(i).alias("priority"))
-        lists = part if lists is None else lists.unionByName(part)
-    firsts = lists.where("symbol is not null").groupBy("symbol").agg(F.min("priority").alias("priority"))
-    from pyspark.sql import Window
-
-    return firsts.withColumn("position", F.row_number().over(Window.orderBy("priority", "symbol")))  # one row per symbol name
+    return symbols.ordered([table(spark, sf, n).select("symbol") for n in ("candle_batch", "candle", "instrument")])
 
 
 @query("select symbol, market, step_s from instrument where symbol in (select symbol from candle)")
 def active_semi(spark, sf):
-    return table(spark, sf, "instrument").join(table(spark, sf, "candle").select("symbol").distinct(), "symbol", "left_semi").select("symbol", "market", "step_s")
+    return symbols.active(table(spark, sf, "instrument").select("symbol", "market", "step_s"), table(spark, sf, "candle"))
 
 
 @query("select symbol, market, step_s from instrument i where not exists (select 1 from candle c where c.symbol = i.symbol)")
 def inactive_anti(spark, sf):
-    return table(spark, sf, "instrument").join(table(spark, sf, "candle").select("symbol").distinct(), "symbol", "left_anti").select("symbol", "market", "step_s")
+    return symbols.inactive(table(spark, sf, "instrument").select("symbol", "market", "step_s"), table(spark, sf, "candle"))
 
 
 @query("select symbol from candle where symbol is not null intersect select symbol from instrument")
 def symbols_intersect(spark, sf):
-    return table(spark, sf, "candle").where("symbol is not null").select("symbol").intersect(table(spark, sf, "instrument").select("symbol"))
-
-
-@query("""select bar_id as id, symbol, close, null::int as batch_no, volume from candle where source = 'gale_replay'
-  union all select in_id, symbol, close, batch_no, volume from candle_batch where source = 'gale_replay'""")
-def union_by_name(spark, sf):
-    a = table(spark, sf, "candle").where("source = 'gale_replay'").select(F.col("bar_id").alias("id"), "symbol", "close", "volume")
-    b = table(spark, sf, "candle_batch").where("source = 'gale_replay'").select(F.col("in_id").alias("id"), "batch_no", "volume", "close", "symbol")
-    return a.unionByName(b, allowMissingColumns=True)
+    return symbols.common(table(spark, sf, "candle"), table(spark, sf, "instrument"))
 
 
 @query("""select bar_id as id, symbol, close, null::int as batch_no, volume from candle
   union all select in_id, symbol, close, batch_no, volume from candle_batch""")
-def union_all_by_name(spark, sf):
-    """Every row of both tables; ``union_by_name`` has those of one source."""
+def union_by_name(spark, sf):
     a = table(spark, sf, "candle").select(F.col("bar_id").alias("id"), "symbol", "close", "volume")
-    b = table(spark, sf, "candle_batch").select(F.col("in_id").alias("id"), "batch_no", "volume", "close", "symbol")
-    return a.unionByName(b, allowMissingColumns=True)
+    return symbols.united(a, table(spark, sf, "candle_batch").select(F.col("in_id").alias("id"), "batch_no", "volume", "close", "symbol"))
 
 
 # Merging and matrices.
@@ -358,10 +344,7 @@ _SPOT = f"with {_TICKS}, spot as ({_SIDE.format(0)}), dated as ({_SIDE.format(1)
 @query(f"""{_SPOT} select symbol, count(*) as n, round(coalesce(median(case when b <> 0 and a / b > 0 and a / b < 1000 then a / b end), 1.0), 6) as ratio
   from (select s.symbol, s.volume as a, d.volume as b from spot s join dated d using (symbol, time)) group by symbol""")
 def median_ratio_scale(spark, sf):
-    spot, other = _two_sides(spark, sf)
-    both = spot.select("symbol", "time", F.col("volume").alias("a")).join(other.select("symbol", "time", F.col("volume").alias("b")), ["symbol", "time"])
-    ratio = F.try_divide("a", "b")
-    return both.groupBy("symbol").agg(F.count("*").alias("n"), r6(F.coalesce(F.median(F.when((ratio > 0) & (ratio < 1000), ratio)), F.lit(1.0)), "ratio"))
+    return gaps.ratio_scale(*_two_sides(spark, sf)).select("symbol", "n", r6("ratio", "ratio"))
 
 
 @query(f"""{_SPOT}, s as (select symbol, lag(time) over (partition by symbol order by time) as prev, time as next from spot),
@@ -439,32 +422,20 @@ def option_symbol_parse(spark, sf):
     return options.parsed(_option_marks(spark, sf)).select("o_orderkey", "underlying", "expiry", "strike", "type")
 
 
-@query(f"""with {_MARKS}, e as (select underlying, expiry, dense_rank() over (partition by underlying order by expiry) as r from m where underlying <> '' and expiry >= date '2096-01-01')
+@query(f"""with {_MARKS}, e as (select underlying, expiry, dense_rank() over (partition by underlying order by expiry) as r from m where underlying <> '' and expiry >= date '2000-01-01')
   select m.o_orderkey, m.underlying, m.expiry from m join (select distinct underlying, expiry from e where r <= 3) using (underlying, expiry)""")
 def nearest_expiries(spark, sf):
-    return options.nearest_expiries(options.parsed(_option_marks(spark, sf)), 3, F.lit("2096-01-01").cast("date")).select("o_orderkey", "underlying", "expiry")
-
-
-@query(f"""with {_MARKS}, t as (select symbol, arg_max(price, o_orderkey) as last_price from m where o_orderkey % 3 = 0 group by symbol), s as (select underlying, max(price) as spot from m where underlying <> '' group by 1),
-  e as (select distinct underlying, expiry, dense_rank() over (partition by underlying order by expiry) as r from m where underlying <> '' and expiry >= date '2095-06-01')
-  select m.o_orderkey as mark_o_orderkey, m.symbol, round(m.price, 6) as mark_price, round(t.last_price, 6) as ticker_price, round(s.spot, 6) as spot
-  from m join e using (underlying, expiry) left join t using (symbol) left join s using (underlying) where e.r <= 20""")
-def mark_ticker_left_join(spark, sf):
-    m = _option_marks(spark, sf)
-    spots = options.parsed(m).groupBy("underlying").agg(F.max("price").alias("spot"))
-    out = options.snapshot(m, m.where("o_orderkey % 3 = 0").select("symbol", "price", "o_orderkey"), spots, "o_orderkey", 20, F.lit("2095-06-01").cast("date"))
-    return out.select("mark_o_orderkey", "symbol", r6("mark_price", "mark_price"), r6("ticker_price", "ticker_price"), r6("spot", "spot"))
+    return options.nearest_expiries(options.parsed(_option_marks(spark, sf)), 3, F.lit("2000-01-01").cast("date")).select("o_orderkey", "underlying", "expiry")
 
 
 @query(f"""with {_MARKS}, t as (select symbol, arg_max(price, o_orderkey) as last_price from m group by symbol), s as (select underlying, max(price) as spot from m where underlying <> '' group by 1),
-  e as (select distinct underlying, expiry, dense_rank() over (partition by underlying order by expiry) as r from m where underlying <> '' and expiry >= date '2095-06-01')
+  e as (select distinct underlying, expiry, dense_rank() over (partition by underlying order by expiry) as r from m where underlying <> '' and expiry >= date '2000-01-01')
   select m.o_orderkey as mark_o_orderkey, m.symbol, round(m.price, 6) as mark_price, round(t.last_price, 6) as ticker_price, round(s.spot, 6) as spot
   from m join e using (underlying, expiry) left join t using (symbol) left join s using (underlying) where e.r <= 20""")
-def mark_all_tickers_left_join(spark, sf):
-    """Every row is a ticker; in ``mark_ticker_left_join`` every third is."""
+def mark_ticker_left_join(spark, sf):
     m = _option_marks(spark, sf)
     spots = options.parsed(m).groupBy("underlying").agg(F.max("price").alias("spot"))
-    out = options.snapshot(m, m.select("symbol", "price", "o_orderkey"), spots, "o_orderkey", 20, F.lit("2095-06-01").cast("date"))
+    out = options.snapshot(m, m.select("symbol", "price", "o_orderkey"), spots, "o_orderkey", 20, F.lit("2000-01-01").cast("date"))
     return out.select("mark_o_orderkey", "symbol", r6("mark_price", "mark_price"), r6("ticker_price", "ticker_price"), r6("spot", "spot"))
 
 
@@ -509,10 +480,7 @@ def streaming_gaps(spark, sf):
 @query(f"""{_HALVES}, u as (select coalesce(n.symbol, o.symbol) as symbol, coalesce(n.time, o.time) as time, coalesce(n.price, o.price) as price from new n full join old o using (symbol, time))
   select symbol, time, round(price, 6) as price from u where symbol in ('view', 'click') and time >= timestamp '2024-01-08' and time <= timestamp '2024-01-22'""")
 def lake_roundtrip(spark, sf):
-    from datetime import datetime
-
     from bartide.registry import Dataset
-    from bartide.sources import lake
 
     old, new = _halves(spark, sf)
     root = work_path(spark, "lake")

@@ -60,13 +60,22 @@ def scan(spark: SparkSession, root: str, ds: Dataset, symbols: str | list[str] |
     folders = folder_filter(ds.grain, start, end)
     if folders is not None:
         df = df.where(folders)
-    if start is not None:
-        df = df.where(F.col(ds.time) >= F.lit(start).cast("timestamp_ntz"))
-    if end is not None:
-        df = df.where(F.col(ds.time) <= F.lit(end).cast("timestamp_ntz"))
+    df = between(df, ds.time, start, end)
     return df.select(*columns) if columns else df
 
 
+def between(df: DataFrame, time: str, start: datetime | None, end: datetime | None) -> DataFrame:
+    """Rows with start <= time <= end, either bound being optional."""
+    if start is not None:
+        df = df.where(F.col(time) >= F.lit(start).cast("timestamp_ntz"))
+    return df if end is None else df.where(F.col(time) <= F.lit(end).cast("timestamp_ntz"))
+
+
+def of_symbols(df: DataFrame, symbols: str | list[str] | None, column: str = "symbol") -> DataFrame:
+    names = symbol_list(symbols)
+    return df if names is None else df.where(F.upper(column).isin(names))
+
+
 def discover(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
     """The symbols there are: a scan of folders only."""
     return spark.read.parquet(f"{root}/{ds.path}").select(F.upper(ds.partition).alias("symbol")).distinct()
@@ -74,7 +83,12 @@ def discover(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
 
 def latest(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
     """The latest time by symbol."""
-    return spark.read.parquet(f"{root}/{ds.path}").groupBy(F.col(ds.partition).alias("symbol")).agg(F.max(ds.time).alias("latest_time"))
+    return extent(spark.read.parquet(f"{root}/{ds.path}"), ds.partition, ds.time).select("symbol", "latest_time")
+
+
+def extent(df: DataFrame, symbol: str = "symbol", time: str = "time") -> DataFrame:
+    """symbol, latest_time, first_time, n."""
+    return df.groupBy(F.col(symbol).alias("symbol")).agg(F.max(time).alias("latest_time"), F.min(time).alias("first_time"), F.count("*").alias("n"))
 
 
 def _headers(batches):

@@ -49,15 +49,10 @@ def test_entry(spark, sf):
 
 def test_union_has_every_row(spark, sf, db):
     n = db.execute("select (select count(*) from candle) + (select count(*) from candle_batch)").fetchone()[0]
-    df = entry.queries()["union_all_by_name"](spark, sf)
+    df = entry.queries()["union_by_name"](spark, sf)
     assert df.count() == n and df.where("id is null").count() == 0
 
 
-def test_every_mark_has_its_last_ticker(spark, sf, db):
-    df = entry.queries()["mark_all_tickers_left_join"](spark, sf)
-    assert df.where("ticker_price is null").count() == 0 and df.count() == db.execute(f"select count(*) from ({SQL['mark_ticker_left_join']})").fetchone()[0]
-
-
 def test_mark_without_ticker(spark):
     marks = spark.createDataFrame([(k, f"BTC-260101-{k}-C", 1.0) for k in (1, 2)], "id long, symbol string, price double")
     tickers = spark.createDataFrame([("BTC-260101-1-C", 5.0, 1), ("BTC-260101-1-C", 6.0, 2)], "symbol string, price double, id long")
