@@ -34,6 +34,12 @@ def touch(spark: SparkSession, path: str, text: str = "") -> None:
     out.close()
 
 
+def upload(spark: SparkSession, local: str, path: str) -> None:
+    """Copy a file of the driver's machine to ``path``."""
+    fs, p = _at(spark, path)
+    fs.copyFromLocalFile(False, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file:{local}"), p)
+
+
 def text(spark: SparkSession, path: str) -> str:
     fs, p = _at(spark, path)
     stream = fs.open(p)
