@@ -2,8 +2,8 @@
 
 Method: the corpus' frequent words are compiled with their ids into a minimal acyclic
 transducer (an automaton with shared prefixes and suffixes whose arc outputs add up to
-the word's number, which leads to its ids). It is written once, memory-mapped by every
-worker, and walked for all distinct words of a batch at once; words that it lacks are
+the word's number, which leads to its ids). It is written once, on whichever file system
+the shared folder is, memory-mapped by every worker, and walked for all distinct words of a batch at once; words that it lacks are
 merged exactly, pair by pair in order of rank. Ids are the tokenizer's own: the lexicon
 only saves work.
 
@@ -21,21 +21,25 @@ from __future__ import annotations
 import base64
 import os
 import sys
+import tempfile
 import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bartide.session import work_path
+from bartide.sources import files
 
 #: Parameters: words in the lexicon; where the vocabulary files lie.
 LEXICON_WORDS = 65_536
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LETTER, DIGIT, BLANK, OTHER = 1, 2, 3, 0
 BYTES_AT_ONCE = 16 << 20
+SHIPPED = "shipped:"
 
 
 def vocabulary_path(name: str = VOCABULARY, folder: str = "/opt/tokenizers") -> str:
@@ -258,7 +262,8 @@ class Lexicon:
     PARTS = ("keys", "targets", "outputs", "final", "root", "starts", "ids")
 
     def __init__(self, folder: str):
-        part = {p: np.load(os.path.join(folder, f"{p}.npy"), mmap_mode="r") for p in self.PARTS}
+        at = (lambda p: SparkFiles.get(f"{folder[len(SHIPPED):]}-{p}.npy")) if folder.startswith(SHIPPED) else (lambda p: os.path.join(folder, f"{p}.npy"))
+        part = {p: np.load(at(p), mmap_mode="r") for p in self.PARTS}
         self.transducer = Transducer(part["keys"], part["targets"], part["outputs"], part["final"], int(part["root"][0]))
         self.starts, self.ids = part["starts"], part["ids"]
 
@@ -279,16 +284,27 @@ class Lexicon:
         return _held("lexicon", folder, lambda: Lexicon(folder))
 
 
-def compile_lexicon(df: DataFrame, text: str, vocabulary: str | None = None, size: int = LEXICON_WORDS) -> str:
-    """Count the words of the whole corpus, compile the ``size`` most frequent (ties by bytes), return the folder."""
+def compile_lexicon(df: DataFrame, text: str, vocabulary: str | None = None, size: int = LEXICON_WORDS, mounted: bool | None = None) -> str:
+    """Count the words of the whole corpus, compile the ``size`` most frequent (ties by bytes), return the lexicon's name.
+
+    Where the shared folder is ``mounted`` (by default if it is no URL but of files), workers map it there. Else (object stores,
+    HDFS) it is copied to the shared folder and Spark ships it from there to each executor once, which maps its own copy."""
     frequent = word_counts(df, text).orderBy(F.desc("n"), "word").limit(size).select("word").toArrow()["word"].to_pylist()
-    path = work_path(df.sparkSession, "lexicon")
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    if "://" in path:
-        raise ValueError("the lexicon is memory-mapped: spark.checkpoint.dir must be a mounted folder")
-    Lexicon.write(path, sorted(frequent), vocabulary or vocabulary_path())
-    return path
+    spark, path = df.sparkSession, work_path(df.sparkSession, "lexicon")
+    local = "/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else None
+    if mounted is None:
+        mounted = local is not None
+    if mounted:
+        Lexicon.write(local, sorted(frequent), vocabulary or vocabulary_path())
+        return local
+    name = path.rsplit("/", 1)[1]
+    with tempfile.TemporaryDirectory() as made:  # on the driver only, until it is copied
+        Lexicon.write(made, sorted(frequent), vocabulary or vocabulary_path())
+        for part in Lexicon.PARTS:
+            at = f"{path}/{name}-{part}.npy"
+            files.upload(spark, os.path.join(made, f"{part}.npy"), at)
+            spark.sparkContext.addFile(at)
+    return SHIPPED + name
 
 
 def _ids(unique: pa.Array, lexicon: Lexicon | None, merge: Merger) -> tuple[np.ndarray, np.ndarray]:

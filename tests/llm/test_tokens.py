@@ -31,7 +31,7 @@ def test_ids_are_those_of_the_tokenizer(spark, public):
     rows = [(i, t) for i, t in enumerate(texts())] + [(0, "again")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = sorted((i, public.encode_ordinary(t) if t else []) for i, t in rows)
-    for lexicon in (None, tokens.compile_lexicon(df.limit(0), "text"), tokens.compile_lexicon(df, "text", size=7)):
+    for lexicon in (None, tokens.compile_lexicon(df.limit(0), "text"), tokens.compile_lexicon(df, "text", size=7), tokens.compile_lexicon(df, "text", size=50, mounted=False)):
         assert sorted((r.doc_id, r.ids) for r in tokens.encode(df, "doc_id", "text", lexicon=lexicon).collect()) == want
     assert sorted((r.doc_id, r.n_tokens) for r in tokens.sizes(df, "doc_id", "text").collect()) == [(i, len(x)) for i, x in want]
     assert tokens.encode(df.limit(0), "doc_id", "text").count() == 0
