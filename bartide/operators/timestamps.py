@@ -23,6 +23,7 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bartide.functions.market import let
 from bartide.session import work_path
 from bartide.sources import files
 
@@ -90,7 +91,8 @@ def _known_zone(zone: Column) -> Column:
 def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> DataFrame:
     """Add ``out``: the instant of column ``raw`` in UTC microseconds, or null."""
     keep = df.columns
-    v = F.upper(F.regexp_replace(F.btrim(F.col(raw), F.lit(_BLANK_CHARS)), r"\s+", " "))
+    # A lambda ends a span of generated code. There are two, as one method of more than 8,000 bytes is never compiled by the JVM.
+    v = let(F.btrim(F.col(raw), F.lit(_BLANK_CHARS)), lambda t: F.upper(F.regexp_replace(t, r"\s+", " ")))
     df = df.withColumn("_td_v", v)
     # A replacement that changes the text is a match: each layout is tried once, and none after the first that fits.
     layout = F.coalesce(*[F.nullif(F.regexp_replace("_td_v", pattern, parts), F.col("_td_v")) for pattern, parts in _LAYOUTS])
@@ -106,7 +108,6 @@ def parse_columns(df: DataFrame, raw: str, zone: str, order: str, out: str) -> D
     for name, ymd in places.items():
         at = F.when(F.col("_td_kind") == name, F.array(*map(F.lit, ymd))).otherwise(at)
     df = df.withColumn("_td_kind", kind).withColumn("_td_at", at)
-    # A lambda ends a span of generated code: one method of more than 8,000 bytes would never be compiled by the JVM.
     df = df.withColumn("_td_ymd", F.transform("_td_at", lambda i: F.get("_td_p", i)))
     piece = lambda i: F.get("_td_ymd", F.lit(i))
     month = F.when(piece(1).rlike("^[A-Z]"), F.array_position(F.array(*map(F.lit, MONTHS)), piece(1)).cast("string")).otherwise(piece(1))
