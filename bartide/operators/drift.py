@@ -1,10 +1,10 @@
 """Schemas that drift between files of JSON lines.
 
 Method: tagged-union inference. Each file's schema is fused from its lines in
-parallel and keeps, for every top-level field, how many values it has of each type
-(the alternatives of a tagged union); file schemas are compared along each feed, and
-all are fused into one. Values whose type conflicts go to typed branches and are
-converted to one canonical value.
+parallel and keeps, for every path, how many values it has of each type (the
+alternatives of a tagged union); file schemas are compared along each feed, alternatives
+that appear are reported, and all are fused into one. Values whose type conflicts go to
+typed branches and are converted to one canonical value.
 
 Renames are inferred from evidence: a field that goes and one that comes in the same
 file are one quantity if no file ever has both, their values are of one kind with like
@@ -51,25 +51,27 @@ def exploded(lines: DataFrame) -> DataFrame:
 
 
 def canonical(rows: DataFrame) -> DataFrame:
-    """Add the typed branches: c_text, c_number (plain, with a unit, ``{value: ...}`` or first of a list), c_time (microseconds), c_bool."""
-    text = F.when(F.col("json_type").isin("string", "number", "boolean"), F.try_variant_get("v", "$", "string"))
-    rows = rows.withColumn("c_text", text)
-    worded = F.regexp_extract("c_text", r"^\s*([+-]?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)\s*[A-Za-z%]*\s*$", 1).try_cast("double")
+    """Add the typed branches: c_text, c_number (plain, with a unit, ``{value: ...}`` or first of a list), c_time (microseconds), c_bool.
+
+    Each pattern is tried only on values of the types and lengths that it can fit."""
+    kind = F.col("json_type")
+    rows = rows.withColumn("c_text", F.when(kind.isin("string", "number", "boolean"), F.try_variant_get("v", "$", "string")))
     number = (
-        F.when(F.col("json_type").isin("string", "number"), worded)
-        .when(F.col("json_type") == "object", F.try_variant_get("v", "$.value", "double"))
-        .when(F.col("json_type") == "array", F.try_variant_get("v", "$[0]", "double"))
+        F.when(kind == "number", F.try_variant_get("v", "$", "double"))
+        .when(kind == "string", F.regexp_extract("c_text", r"^\s*([+-]?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)\s*[A-Za-z%]*\s*$", 1).try_cast("double"))
+        .when(kind == "object", F.try_variant_get("v", "$.value", "double"))
+        .when(kind == "array", F.try_variant_get("v", "$[0]", "double"))
     )
     rows = rows.withColumn("c_number", number)
     n = F.col("c_number")
     since = F.when(n.between(1e9, 4e9), n * 1e6).when(n.between(1e12, 4e12), n * 1e3).when(n.between(1e15, 4e15), n)
-    iso = F.when(F.col("c_text").rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.col("c_text").try_cast("timestamp_ntz"))
-    micros = F.datediff(iso.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000_000 + (F.hour(iso) * 3600 + F.minute(iso) * 60).cast("long") * 1_000_000 + (F.extract(F.lit("SECOND"), iso) * 1_000_000).cast("long")
+    dated = (kind == "string") & (F.length("c_text") >= 16) & (F.substring("c_text", 5, 1) == "-") & F.col("c_text").rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}")
+    rows = rows.withColumn("_iso", F.when(dated, F.col("c_text").try_cast("timestamp_ntz")))
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', _iso)")
     low = F.lower("c_text")
-    return rows.withColumns({
-        "c_time": F.coalesce(since.cast("long"), micros),
-        "c_bool": F.when(low.isin("true", "yes", "1"), True).when(low.isin("false", "no", "0"), False),
-    })
+    said = F.when(low.isin("true", "yes", "1"), True).when(low.isin("false", "no", "0"), False)
+    could = (kind == "boolean") | ((kind == "string") & (F.length("c_text") <= 5)) | ((kind == "number") & n.isin(0.0, 1.0))
+    return rows.withColumns({"c_time": F.coalesce(since.cast("long"), micros), "c_bool": F.when(could, said)}).drop("_iso")
 
 
 def lossless() -> Column:
@@ -205,11 +207,66 @@ def changes(lines: DataFrame, files: DataFrame, schemas: DataFrame | None = None
     return found.mapInPandas(_compare_rows, "file_id long, change_kind string, field_name string, old_name string")
 
 
-def union_schema(lines: DataFrame) -> DataFrame:
-    """The fused schema: every (field, alternative shape) with its number of values and the first and last file that has it."""
-    return exploded(lines).where(F.col("json_type").isNotNull()).groupBy("key", "json_type", "shape").agg(
-        F.count("*").alias("n_values"), F.min("file_id").alias("first_file_id"), F.max("file_id").alias("last_file_id"),
-    ).withColumnsRenamed({"key": "field_name"})
+def _shape_paths(shape: str, path: str) -> list[tuple[str, str]]:
+    """(path, JSON type) of all values within one of ``shape``; [] stands for the elements of a list."""
+    head = shape.split("<", 1)[0]
+    if head == "VOID":
+        return []
+    if head == "ARRAY":
+        return [(path, "array"), *_shape_paths(shape[6:-1], path + "[]")]
+    if head == "OBJECT":
+        out, depth, begin, quoted = [(path, "object")], 0, 7, False
+        for i, c in enumerate(shape):
+            if c == "`":
+                quoted = not quoted
+            elif not quoted:
+                depth += (c == "<") - (c == ">")
+            if i >= 7 and not quoted and ((c == "," and depth == 1) or (i == len(shape) - 1)):
+                part = shape[begin:i].strip()
+                begin = i + 1
+                if part:
+                    name, kind = re.match(r"(`(?:[^`]|``)*`|[^:]+): (.*)$", part, re.S).groups()
+                    name = name[1:-1].replace("``", "`") if name.startswith("`") else name
+                    out += _shape_paths(kind, f"{path}.{name}")
+        return out
+    return [(path, {"STRING": "string", "BOOLEAN": "boolean", "VARIANT": "mixed"}.get(head, "number"))]
+
+
+def _path_rows(batches):
+    for pdf in batches:
+        known: dict[str, list] = {}
+        rows = []
+        for fid, key, shape, n in zip(pdf["file_id"], pdf["key"], pdf["shape"], pdf["n"]):
+            if shape not in known:
+                known[shape] = _shape_paths(shape, "")
+            rows += [(fid, key + path, kind, n) for path, kind in known[shape]]
+        yield pd.DataFrame(rows, columns=["file_id", "field_name", "json_type", "n"])
+
+
+def alternatives(lines: DataFrame) -> DataFrame:
+    """The tagged union of each file by path, not only of top-level fields: file_id, field_name (``a.b``, ``a[]`` for elements), json_type,
+    n: values that have it. Values are counted by shape before Python sees a shape; elements of several types are ``mixed``."""
+    shapes = exploded(lines).where(F.col("json_type").isNotNull()).groupBy("file_id", "key", "shape").agg(F.count("*").alias("n"))
+    return shapes.mapInPandas(_path_rows, "file_id long, field_name string, json_type string, n long").groupBy("file_id", "field_name", "json_type").agg(F.sum("n").alias("n"))
+
+
+def union_schema(found: DataFrame) -> DataFrame:
+    """All file schemas (``alternatives``) fused: every alternative of every path with its values, files, and the first and last of them."""
+    return found.groupBy("field_name", "json_type").agg(
+        F.sum("n").alias("n_values"), F.count("*").alias("n_files"), F.min("file_id").alias("first_file_id"), F.max("file_id").alias("last_file_id"),
+    )
+
+
+def appearing(found: DataFrame, files: DataFrame) -> DataFrame:
+    """Alternatives that a feed's files haven't had before: file_id, feed, field_name, json_type, other_types (what the path had in
+    earlier files of the feed; empty if it is new). A feed's first file with readable lines only sets out."""
+    at = found.join(files.select("file_id", "feed", F.struct("file_seq", "file_id").alias("at")), "file_id")
+    first = at.groupBy("feed", "field_name", "json_type").agg(F.min("at").alias("at"))
+    begun = at.groupBy("feed").agg(F.min("at").alias("_begun"))
+    of_path = first.groupBy("feed", "field_name").agg(F.array_sort(F.collect_list(F.struct("at", "json_type"))).alias("_all"))
+    new = first.join(begun, "feed").where("at > _begun").join(of_path, ["feed", "field_name"])
+    before = F.transform(F.filter("_all", lambda x: x["at"] < F.col("at")), lambda x: x["json_type"])
+    return new.select("at.file_id", "feed", "field_name", "json_type", F.array_join(F.array_sort(before), ",").alias("other_types"))
 
 
 def _classes(pairs: list[tuple[str, str]], names: list[tuple[str, int]]) -> dict[str, str]:

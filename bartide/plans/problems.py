@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide.operators import drift, grid, spikes, timestamps
-from bartide.session import work_path
+from bartide.plans import instants
+from bartide.session import cut, work_path
 from bartide.sources.tables import table
 
 
@@ -44,7 +45,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_union(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.union_schema(table(spark, sf, "depth_line"))
+    return drift.union_schema(drift.alternatives(table(spark, sf, "depth_line")))
+
+
+def p5_appearing(spark: SparkSession, sf: str) -> DataFrame:
+    return drift.appearing(cut(drift.alternatives(table(spark, sf, "depth_line")), "alternatives"), table(spark, sf, "depth_file"))
 
 
 def p5_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,10 +64,27 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_union": p5_union,
+    "p5_appearing": p5_appearing,
     "p5_table": p5_table,
 }
 
+_PATHS = r"""
+        with lines as (select line_id, file_id, payload from depth_line where json_valid(payload) and json_type(payload) = 'OBJECT' and file_id is not null),
+        v as (select l.file_id, l.line_id, replace(regexp_replace(substr(t.fullkey, 3), '\[[0-9]+\]', '[]', 'g'), '"', '') as field_name,
+                case t.type when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' when 'OBJECT' then 'object' else 'number' end as json_type
+            from lines l, json_tree(l.payload) t where t.fullkey <> '$' and t.type <> 'NULL'),
+        a as (select file_id, field_name, json_type, count(distinct line_id) as n from v group by 1, 2, 3)"""
+
 SQL = {
+    "p2_found": instants.FOUND,
+    "p2_batches": instants.FOUND,
+    "p5_union": f"""{_PATHS}
+        select field_name, json_type, sum(n)::bigint as n_values, count(*) as n_files, min(file_id) as first_file_id, max(file_id) as last_file_id from a group by 1, 2""",
+    "p5_appearing": f"""{_PATHS}, f as (select a.*, d.feed, d.file_seq from a join depth_file d using (file_id)),
+        o as (select feed, field_name, json_type, min((file_seq, file_id)) as at from f group by 1, 2, 3), b as (select feed, min((file_seq, file_id)) as begun from f group by feed)
+        select o.at[2] as file_id, o.feed, o.field_name, o.json_type,
+            coalesce((select string_agg(p.json_type, ',' order by p.json_type) from o p where p.feed = o.feed and p.field_name = o.field_name and p.at < o.at), '') as other_types
+        from o join b using (feed) where o.at > b.begun""",
     "p3_grid": """
         with r as (
             select symbol, epoch_us(time) as t, arg_max(close, bar_id) as v, count(*) as n from candle
