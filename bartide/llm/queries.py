@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide.llm import fusion, incremental, mixing, sentences, tokens
+from bartide.llm.sql import SQL
 from bartide.session import work_path
 from bartide.sources.tables import table
 
@@ -97,4 +98,5 @@ QUERIES = {
     "p8_shortfall": p8_shortfall,
     "p9_found": p9_found,
 }
-SQL: dict[str, str] = {}
+
+__all__ = ["QUERIES", "SQL"]
