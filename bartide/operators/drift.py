@@ -220,7 +220,7 @@ def _shape_paths(shape: str, path: str) -> list[tuple[str, str]]:
             if c == "`":
                 quoted = not quoted
             elif not quoted:
-                depth += (c == "<") - (c == ">")
+                depth += (c in "<(") - (c in ">)")
             if i >= 7 and not quoted and ((c == "," and depth == 1) or (i == len(shape) - 1)):
                 part = shape[begin:i].strip()
                 begin = i + 1

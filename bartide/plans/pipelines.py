@@ -84,6 +84,23 @@ def clipped(todo: DataFrame, symbols: DataFrame, end, step_s: int) -> DataFrame:
     return todo.join(known, "symbol", "left").select("symbol", F.col("fetch_from").alias("from"), last.alias("to")).where("from <= to")
 
 
+def repair_small_gaps(spark: SparkSession, root: str, ds: Dataset, key: Callable, download: Callable, fetch: Callable, source: str, ingested_at: str, most_s: int) -> dict:
+    """Gaps of up to ``most_s`` seconds: first from the daily archives of the days they touch, each asked for once (``key(symbol, day)`` gives
+    an archive's name as a column), then by fetching what is still missing."""
+    step = ds.step_s or 60
+    scan = lambda: lake.scan(spark, root, ds, columns=["symbol", ds.time])
+    found = cut(gaps.ranges(scan(), step, most_s, floor_s=ds.floor_s, time=ds.time), "gaps")
+    days = found.select("symbol", F.explode(F.sequence(F.col("missing_start").cast("date"), F.col("missing_end").cast("date"))).alias("day")).distinct()
+    keys = cut(days.select(key(F.col("symbol"), F.col("day")).alias("key")), "keys")
+    out = {"gaps": found.count(), "archives": keys.count(), "from_archives": 0, "rejected": 0}
+    if not out["gaps"]:
+        return out | {"repair": {"gaps": 0, "missing": 0, "rows_written": 0}}
+    rows, errors = archives.split_errors(cut(archives.download(keys.repartition(min(out["archives"], 2000)), download, archives.KLINE_COLUMNS), "archives"))
+    wrote = _write(_candles(rows.withColumn("symbol", archives.key_parts(F.col("archive"))["symbol"]), source, ingested_at, ds.floor_s), root, ds)
+    out |= {"from_archives": wrote["rows_written"], "rejected": errors.count()}
+    return out | {"repair": repair_gaps(spark, root, ds, fetch, source, ingested_at, most_missing=most_s // step)}
+
+
 def fetch_tail(spark: SparkSession, root: str, ds: Dataset, fetch: Callable, source: str, ingested_at: str, start, end, symbols: DataFrame, overlap_s: int = 600) -> dict:
     """Fetch each of ``symbols`` from where ``gaps.resume`` says to ``end``, the last closed period; ``start``: of the backfill.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import uuid
 
@@ -32,12 +33,14 @@ def session(app: str = "bartide", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where neither that setting nor a checkpoint directory exists (tests, a
-    single machine) is one chosen here.
+    Only where neither that setting nor a checkpoint directory exists, and all tasks
+    run in this process (tests), is one chosen here; on a cluster that raises.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = f"file:///tmp/bartide-shared-{os.getpid()}"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
@@ -54,15 +57,19 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(path: str) -> None:
+    if path.startswith(("file:", "/")):
+        shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+    elif (sc := SparkContext._active_spark_context) is not None:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @atexit.register
 def _delete_work() -> None:
     for path in _PATHS:
         try:
-            if path.startswith(("file:", "/")):
-                shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
-            elif (sc := SparkContext._active_spark_context) is not None:
-                p = sc._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(path)
         except Exception:  # the session may be gone already
             return
 
@@ -72,4 +79,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     and the rows survive the loss of any executor."""
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``cut`` wrote for ``df``, when nothing will read it again: rounds don't pile up in the shared folder."""
+    _delete(df._cut_path)
+    _PATHS.remove(df._cut_path)

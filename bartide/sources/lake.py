@@ -86,6 +86,14 @@ def latest(spark: SparkSession, root: str, ds: Dataset) -> DataFrame:
     return extent(spark.read.parquet(f"{root}/{ds.path}"), ds.partition, ds.time).select("symbol", "latest_time")
 
 
+def times(df: DataFrame, alternates: tuple[str, ...] = ("time", "open_time", "snapshot_time"), symbol: str = "symbol") -> DataFrame:
+    """symbol, time: nothing but the time of each row, under whichever of ``alternates`` the table has it (the first that isn't null)."""
+    held = [c for c in alternates if c in df.columns]
+    if not held:
+        raise ValueError(f"none of {', '.join(alternates)} among the columns")
+    return df.select(F.col(symbol).alias("symbol"), F.coalesce(*[F.col(c).cast("timestamp_ntz") for c in held]).alias("time"))
+
+
 def extent(df: DataFrame, symbol: str = "symbol", time: str = "time") -> DataFrame:
     """symbol, latest_time, first_time, n."""
     return df.groupBy(F.col(symbol).alias("symbol")).agg(F.max(time).alias("latest_time"), F.min(time).alias("first_time"), F.count("*").alias("n"))

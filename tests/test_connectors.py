@@ -204,6 +204,30 @@ def test_cascade(spark, tmp_path):
     assert pipelines.cascade(*later)["daily"]["rejects"][0][0] == "d/AAA-1m-2025-01-02.zip"
 
 
+def test_small_gaps_from_archives_then_by_fetching(spark, tmp_path):
+    ds = dataset("crypto_binance_quarterly_1m")
+    kind = "time timestamp_ntz, symbol string, open double, high double, low double, close double, volume double"
+    held = [m for m in range(0, 200) if m not in (10, 11, 50) and not 100 <= m < 160]
+    sinks.upsert(spark.createDataFrame([(T0 + timedelta(minutes=m), "AAA", 1.0, 2.0, 1.0, 1.5, 5.0) for m in held], kind), f"{tmp_path}/{ds.path}", ["symbol", "time"])
+    asked = []
+
+    def download(key):
+        if key != "d/AAA-1m-2025-01-01.zip":
+            raise OSError("no such key")
+        return zipped([row(m) for m in range(0, 12)])
+
+    def fetch(symbol, start, end, limit):
+        return [row(m) for m in range(0, 200) if start <= START + m * 60_000 <= end][:limit]
+
+    key = lambda symbol, day: F.format_string("d/%s-1m-%s.zip", symbol, F.date_format(day, "yyyy-MM-dd"))
+    done = pipelines.repair_small_gaps(spark, str(tmp_path), ds, key, download, fetch, "x", "now", 600)
+    assert done == {"gaps": 2, "archives": 1, "from_archives": 12, "rejected": 0, "repair": {"gaps": 1, "missing": 1, "rows_written": 1}} and not asked
+    assert lake.scan(spark, str(tmp_path), ds).count() == 140
+    assert sorted(r.time.minute for r in lake.times(lake.scan(spark, str(tmp_path), ds).withColumnRenamed("time", "open_time")).where("minute(time) in (10, 50)").collect()) == [10, 10, 10, 50, 50]
+    with pytest.raises(ValueError):
+        lake.times(spark.createDataFrame([("A",)], "symbol string"))
+
+
 def test_tail_of_dated_contracts(spark):
     todo = spark.createDataFrame([(s, T0) for s in ("A_250329", "B", "C", "D_250101")], "symbol string, fetch_from timestamp_ntz")
     symbols = spark.createDataFrame([("A_250329", None), ("B", datetime(2025, 2, 1)), ("C", None), ("D_250101", None)], "symbol string, delivery_time timestamp_ntz")

@@ -85,9 +85,28 @@ def test_too_many_rename_pairs_raise(spark, monkeypatch):
 
 def test_union_keeps_alternatives(spark):
     lines, _ = tables(spark, {"f": [rows(x=1, y=[1.5]), rows(x="a", y=[1.5])]})
-    got = {(r.field_name, r.json_type): (r.n_values, r.first_file_id, r.last_file_id) for r in drift.union_schema(lines).collect()}
-    assert got == {("x", "number"): (6, 1, 1), ("x", "string"): (6, 2, 2), ("y", "array"): (12, 1, 2)}
+    got = {(r.field_name, r.json_type): (r.n_values, r.first_file_id, r.last_file_id) for r in drift.union_schema(drift.alternatives(lines)).collect()}
+    assert got == {("x", "number"): (6, 1, 1), ("x", "string"): (6, 2, 2), ("y", "array"): (12, 1, 2), ("y[]", "number"): (12, 1, 2)}
 
 
 def test_likeness():
     assert drift.name_likeness("spread_bps", "Spread (basis points)") == 1 and drift.name_likeness("imb", "imbalance") == 1 and drift.name_likeness("checksum", "latency_ms") == 0
+
+
+def test_alternatives_by_path(spark):
+    rows = [
+        (1, 1, '{"a": 1, "b": {"c": [1, 2], "d e": null}}'), (2, 1, '{"a": 2.5, "b": {"c": ["x"]}}'), (3, 2, '{"a": "1", "b": {"c": [], "d e": true}}'), (4, 2, '{"b": 7, "z": [{"k": 1}, {"k": "x"}]}'),
+        (5, 3, '{"a": 1, "n": null}'), (6, 3, "{cut"), (7, None, '{"a": 1}'), (8, 4, None),
+    ]
+    found = drift.alternatives(spark.createDataFrame(rows, "line_id long, file_id long, payload string")).cache()
+    got = {(r.field_name, r.json_type): (r.n_values, r.n_files, r.first_file_id, r.last_file_id) for r in drift.union_schema(found).collect()}
+    mixed = got.pop(("z[].k", "mixed"), None) or got.pop(("z[]", "mixed"))
+    got.pop(("z[]", "object"), None)
+    assert mixed == (1, 1, 2, 2) and got == {
+        ("a", "number"): (3, 2, 1, 3), ("a", "string"): (1, 1, 2, 2), ("b", "object"): (3, 2, 1, 2), ("b", "number"): (1, 1, 2, 2), ("b.c", "array"): (3, 2, 1, 2),
+        ("b.c[]", "number"): (1, 1, 1, 1), ("b.c[]", "string"): (1, 1, 1, 1), ("b.d e", "boolean"): (1, 1, 2, 2), ("z", "array"): (1, 1, 2, 2),
+    }
+    files = spark.createDataFrame([(1, "f", 1), (2, "f", 2), (3, "g", 1), (4, "g", 2)], "file_id long, feed string, file_seq int")
+    new = {(r.file_id, r.field_name, r.json_type): r.other_types for r in drift.appearing(found, files).collect()}
+    assert new[(2, "a", "string")] == "number" and new[(2, "b", "number")] == "object" and new[(2, "b.d e", "boolean")] == "" and not any(f in (1, 3, 4) for f, _, _ in new)
+    assert drift._shape_paths("OBJECT<`a, b: c`: ARRAY<OBJECT<x: STRING, y: VOID>>, d: DECIMAL(3,1)>", "r") == [("r", "object"), ("r.a, b: c", "array"), ("r.a, b: c[]", "object"), ("r.a, b: c[].x", "string"), ("r.d", "number")]
