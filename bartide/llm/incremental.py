@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bartide.operators.chunks import epoch_us
-from bartide.session import cut, work_path
+from bartide.session import cut, discard, work_path
 from bartide.sources import files
 
 NUMBERS = ("open", "high", "low", "close", "volume")
@@ -158,7 +158,9 @@ def _resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if fresh.isEmpty():
             return done
         still = fresh.where("state = 0").select(F.col("id").alias("i"))
-        left = cut(step.where("state is null").select("i", "j").join(still, "i", "left_semi"), "open")
+        before, left = left, cut(step.where("state is null").select("i", "j").join(still, "i", "left_semi"), "open")
+        if hasattr(before, "_cut_path"):
+            discard(before)
         fresh = fresh.where("state > 0")
         done = done.unionByName(fresh)
 

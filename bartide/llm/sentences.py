@@ -39,8 +39,14 @@ PARTS = [("z", "B"), ("d", "h"), ("u", "a"), ("o", "ä"), ("i", "d"), ("p", "ex"
 OPEN_PARTS = [("т", "д"), ("т", "п"), ("и", "др"), ("EE", "UU")]
 GERMAN_MONTHS = "Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember"
 GERMAN_BEFORE_ORDINAL = "[Ii]m|[Bb]eim|[Zz]um|[Vv]om|[Aa]m|[Dd]em|[Dd]en|[Dd]er|[Aa]b"
-#: Names of files end in these; no sentence begins with them.
-EXTENSIONS = "py|toml|yml|yaml|md|js|ts|sql|json|txt|csv|bin|go|rs|c|h|cpp|java|xml|html|sh|cfg|ini|lock|jsonl|parquet"
+#: Common endings of file names; a point before one of them is within a name.
+EXTENSIONS = [
+    "avro", "bak", "bat", "bin", "c", "cc", "cfg", "clj", "conf", "cpp", "cs", "css", "csv", "cxx", "dart", "db", "diff", "dll", "env", "erl", "ex", "go", "gradle", "graphql", "gz", "h", "hpp", "hs", "html",
+    "ini", "ipynb", "jar", "java", "jpg", "js", "json", "jsonl", "jsx", "kt", "lock", "log", "lua", "md", "mdx", "mm", "orc", "parquet", "patch", "pdf", "php", "pl", "png", "properties", "proto", "ps1", "py",
+    "rb", "rs", "rst", "scala", "scss", "sh", "so", "sql", "svg", "swift", "tar", "tex", "tf", "toml", "ts", "tsx", "txt", "vue", "wasm", "xml", "yaml", "yml", "zip",
+]
+#: Chinese and Japanese conjunctions that go on with a sentence after an ellipsis.
+GOING_ON = "但|却|而|可是|不过|然而|并且|所以|因此|可见|でも|だが|けれど|しかし"
 
 _CJK = r"\x{3005}-\x{3007}\x{3040}-\x{30ff}\x{3400}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{2ffff}"
 _LATIN_MARKS, _CJK_MARKS, _OTHER_MARKS = r".!?…", r"。！？｡．", r"؟।॥۔"
@@ -112,19 +118,19 @@ def broken(m: Column) -> Column:
         m = _subbed(m, pattern, f"$1{BREAK}", only)
 
     plain = rf"\p{{Ll}}[\p{{Ll}}\p{{M}}'’]*+(?![\p{{L}}\p{{N}}_/]|[.\-][\p{{L}}&&[^{_CJK}]])"  # a word in lower case that isn't a name in code
-    name = rf"(?!(?:{EXTENSIONS})(?![A-Za-z0-9_]))[A-Za-z_][A-Za-z0-9_/.\-]*+(?=[{_CJK}])"
+    name = rf"(?!(?:{"|".join(EXTENSIONS)})(?![A-Za-z0-9_]))[A-Za-z_][A-Za-z0-9_/.\-]*+(?=[{_CJK}])"
     more = rf"[{_MARKS}」』”）】》\"\)\]»\x{{e002}}\x{{e003}}]"
     thai = r"\x{e00}-\x{e7f}"
     shut = rf"(?:{_LATIN_SHUT}){{0,3}}"
     closed = rf"\x{{e002}}(?:{_LATIN_SHUT}){{1,3}}"
     # Latin, Cyrillic, Devanagari, Arabic: a mark, closing signs, blanks. After a full stop or an ellipsis no plain word in lower case begins a sentence.
-    sub(rf"([.…]{shut}|{closed})(?=\s++(?!{plain})(?!但)[^\s{_MARKS}])")
+    sub(rf"([.…]{shut}|{closed})(?=\s++(?!{plain})(?!(?<=…\s{{1,40}})(?:{GOING_ON}))[^\s{_MARKS}])")
     sub(rf"([!?{_OTHER_MARKS}]{shut})(?=\s++[^\s{_MARKS}»])")
     # Chinese and Japanese: a mark, closing signs.
     sub(rf"([{_CJK_MARKS}]{_CJK_SHUT}{{0,3}})(?!{more}|[0-9０-９])(?=\s*+\S)")
-    sub(rf"(…)(?=[{_CJK}“「（]|{name})(?!但)")
+    sub(rf"(…)(?=[{_CJK}“「（]|{name})(?!{GOING_ON})")
     # Latin marks with a Chinese or Japanese sentence right after them.
-    sub(rf"([.!?…]{shut}|{closed})(?=[{_CJK}「『（]|“[{_CJK}]|{name})(?!但)")
+    sub(rf"([.!?…]{shut}|{closed})(?=[{_CJK}「『（]|“[{_CJK}]|{name})(?!(?<=…)(?:{GOING_ON}))")
     # Closed quotes and brackets that end a sentence: speech after a colon; a bracket that no particle precedes.
     sub(rf"([：:]\s?“[^“”]*+(?<=\x{{e003}})”)(?!\s*+{more})(?=\s*+\S)", "“")
     sub(rf"((?:\A|[^をはがにでのともへや、])（[^（）]*+(?<=\x{{e003}})）)(?!\s*+{more})(?=\s*+\S)", "（")
