@@ -42,4 +42,12 @@ CHOSEN = f"""
     usable as (select rec_id, field_name from said where isfinite(v) and case when least = 0 then v > 0 else v >= 0 end)
     select group_id, field_name, arg_max(g.rec_id, (rank, ingested, g.rec_id)) as rec_id from grouped g join usable using (rec_id) where n >= 2 group by 1, 2"""
 
-SQL = {"p1_found": CHOSEN, "p6_found": REPEATS, "p6_batches": REPEATS}
+_BLANK = r"\x{9}-\x{d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+#: Words of the tokenizer's splitting pattern. It looks ahead, for the last blank before a word; here a sign put before that blank does.
+WORDS = rf"""
+    with texts as (select regexp_replace(replace(text, chr(57344), chr(65533)), '([{_BLANK}])([{_BLANK}][^{_BLANK}])', '\1' || chr(57344) || '\2', 'g') as t from documents where text is not null),
+    words as (select unnest(regexp_extract_all(t, '\x{{e000}}|''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_BLANK}\p{{L}}\p{{N}}\x{{e000}}]+|[{_BLANK}]+')) as w from texts)
+    select hex(encode(w)) as word_hex, count(*) as n from words where w <> chr(57344) group by 1"""
+
+SQL = {"p7_words": WORDS, "p1_found": CHOSEN, "p6_found": REPEATS, "p6_batches": REPEATS}
