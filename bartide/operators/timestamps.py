@@ -58,12 +58,11 @@ _LAYOUTS = [
 _NUMBER = r"^[+-]?\d{1,20}(?:\.\d*)?(?:E[+]?\d{1,2})?$"
 _SPELLED = r"^(?:19|20)\d{6}(?:\d{4}|\d{6})?$"
 _BLANK_CHARS = " \t\n\r\x0b\x0c\xa0\ufeff\u200b"
-_BLANKS = r"^[\s\x{a0}\x{feff}\x{200b}]+|[\s\x{a0}\x{feff}\x{200b}]+$"
 
 
 def source_key(source: Column) -> Column:
     """A source's name apart from case and surrounding blanks."""
-    return F.lower(F.regexp_replace(source, _BLANKS, ""))
+    return F.lower(F.btrim(source, F.lit(_BLANK_CHARS)))
 
 
 def _wall_us(instant_us: Column, zone: Column) -> Column:
