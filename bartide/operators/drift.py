@@ -14,7 +14,8 @@ Defined results: lines that aren't a JSON object are skipped (they count in no
 schema); a field that is only ever null in a file has no type there; equally frequent
 types are all a file's type, and only a change to none of them is a retyping; a file
 without readable lines has no fields; null file_id rows and empty tables give nothing;
-very long payloads are parsed whole.
+files without a feed are one feed, repeated rows of a file count once; very long
+payloads are parsed whole.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bartide.operators.chunks import placed, ranked
 from bartide.session import cut
 
 JSON_TYPES = ("string", "number", "boolean", "array", "object")
@@ -191,16 +193,21 @@ def changes(lines: DataFrame, files: DataFrame, schemas: DataFrame | None = None
     """All changes: file_id, change_kind, field_name, old_name."""
     schemas = cut(file_schemas(lines), "file-schemas") if schemas is None else schemas  # read three times
     fields = F.collect_list(F.struct("key", *[f"n_{t}" for t in JSON_TYPES], "n", "n_time", "n_bool", "n_num", "q", "neg"))
-    per_file = files.select("file_id", "feed", "file_seq").join(schemas.groupBy("file_id").agg(F.array_sort(fields).alias("now")), "file_id", "left")
-    order = Window.partitionBy("feed").orderBy("file_seq", "file_id")
-    steps = per_file.withColumns({"before": F.lag("now").over(order), "_first": F.lag("file_id").over(order).isNull()}).where(~F.col("_first"))
     names = lambda c: F.coalesce(F.transform(F.col(c), lambda x: x["key"]), F.array().cast("array<string>"))
-    steps = steps.withColumns({"_old": names("before"), "_new": names("now")})
-    steps = steps.withColumns({"_gone": F.array_except("_old", "_new"), "_come": F.array_except("_new", "_old")})
-    # Pairs of names that are candidates anywhere, and of those the ones that one file has both of.
+    per_file = cut(schemas.groupBy("file_id").agg(F.array_sort(fields).alias("now")).withColumn("_names", names("now")), "schemas-by-file")
+    # Neighbours meet by their places, so that a feed with most of the files is many tasks; schemas come to them by file.
+    listed = files.where("file_id is not null").select("file_id", F.coalesce("feed", F.lit("")).alias("feed"), "file_seq").distinct()
+    order = placed(*ranked(listed, "feed", ["file_seq", "file_id"]), "feed").select("feed", "_pos", "file_id")
+    pairs_of_files = order.join(order.select(F.col("feed"), (F.col("_pos") + 1).alias("_pos"), F.col("file_id").alias("_before_id")), ["feed", "_pos"])
+    before = per_file.select(F.col("file_id").alias("_before_id"), F.col("now").alias("before"), F.col("_names").alias("_old"))
+    none = F.array().cast("array<string>")
+    steps = pairs_of_files.join(per_file.withColumnRenamed("_names", "_new"), "file_id", "left").join(before, "_before_id", "left")
+    steps = steps.withColumns({"_old": F.coalesce("_old", none), "_new": F.coalesce("_new", none)})
+    steps = cut(steps.withColumns({"_gone": F.array_except("_old", "_new"), "_come": F.array_except("_new", "_old")}).select("file_id", "before", "now", "_gone", "_come"), "steps")
+    # Pairs of names that are candidates anywhere, and of those the ones that one file has both of: files count by their set of names.
     pairs = steps.select(F.explode("_gone").alias("r"), "_come").select("r", F.explode("_come").alias("a")).distinct()
-    has = schemas.select("file_id", "key")
-    both = pairs.join(has.withColumnRenamed("key", "r"), "r").join(has.withColumnRenamed("key", "a"), ["file_id", "a"]).select("r", "a").distinct()
+    sets = per_file.select("_names").distinct()
+    both = sets.select("_names", F.explode("_names").alias("r")).join(pairs, "r").where(F.array_contains("_names", F.col("a"))).select("r", "a").distinct()
     asked = steps.select("file_id", F.explode("_gone").alias("r"), "_come").select("file_id", "r", F.explode("_come").alias("a"))
     apart = asked.join(both, ["r", "a"]).groupBy("file_id").agg(F.collect_set(F.struct("r", "a")).alias("apart"))
     found = steps.select("file_id", "before", "now").join(apart, "file_id", "left")
