@@ -26,7 +26,8 @@ a window inside each bucket, so a source with a third of all documents is many t
 Defined results: documents with null or unlisted source, or without tokens (null, empty
 text), are not in the mix; a source without tokens gets nothing and its target is
 reported as missed; the last block of a source may be shorter; equal inputs and seed
-give equal mixes; empty tables give no slots. A target is met if the share reached
+give equal mixes; empty tables give no slots; repeated rows of a document, or of a
+target, count once (the longest, the larger share and cap). A target is met if the share reached
 differs by no more than a hundredth of it.
 """
 
@@ -67,7 +68,7 @@ def streams(documents: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     """source, doc_id, n_tokens, start: the place of each document in its source's stream."""
     wanted = documents.join(targets.select("source").distinct(), "source", "left_semi")
     keyed = wanted.select(F.struct("doc_id", "source").alias("k"), "text")
-    sized = sizes(keyed, "k", "text").where("n_tokens > 0").select("k.source", "k.doc_id", "n_tokens")
+    sized = sizes(keyed, "k", "text").where("n_tokens > 0").groupBy("k.source", "k.doc_id").agg(F.max("n_tokens").alias("n_tokens"))
     sized = cut(sized.withColumn("_h", F.xxhash64("doc_id", F.lit(seed))), "sizes")
     buckets = -(-sized.count() // BUCKET_DOCS) + 15
     sized = sized.withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 20), F.lit(buckets)).cast("int"))
@@ -206,7 +207,8 @@ class Mix:
 
     def __init__(self, documents: DataFrame, targets: DataFrame, block_tokens: int = BLOCK_TOKENS, total_tokens: int | None = None, seed: int = 7, most_sources: int = 10_000):
         spark = documents.sparkSession
-        listed = targets.where(F.col("source").isNotNull()).limit(most_sources + 1).collect()
+        targets = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+        listed = targets.limit(most_sources + 1).collect()
         if len(listed) > most_sources:
             raise ValueError(f"more than {most_sources} sources")
         placed = cut(streams(documents, targets, seed), "streams")

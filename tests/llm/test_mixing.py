@@ -102,3 +102,11 @@ def test_every_total_is_met_to_the_token():
                 block = int(mixing.Permutation(blocks, 5, "s", j // blocks)(np.array([j % blocks]))[0])
                 got += min(16 if block < blocks - 1 else tokens - 16 * (blocks - 1), s.last if j == s.slots - 1 else 16)
             assert got == want == s.planned
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    d, t = docs(spark, {"a": [40] * 30, "b": [25] * 20}), spark.createDataFrame([("a", 0.6, 1), ("b", 0.4, 2)], TARGETS)
+    plain = sorted(map(tuple, mixing.Mix(d, t, block_tokens=32).rows.collect()))
+    odd = d.union(d).withColumns({c: F.lit(None).cast("string") for c in ("block", "shard", "slot", "n_tokens", "start", "at", "k", "_h", "_b", "take")})
+    again = mixing.Mix(odd, t.union(t).withColumn("tokens", F.lit(1)), block_tokens=32)
+    assert sorted(map(tuple, again.rows.collect())) == plain and [r.most_uses <= r.max_repeats for r in again.report().collect()] == [True, True]
