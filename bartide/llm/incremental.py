@@ -140,15 +140,12 @@ def _edges(nodes: DataFrame) -> DataFrame:
     return p.join(s, same_cell & _matches("p", "s")).select(F.col("p.id").alias("i"), F.col("s.id").alias("j"))
 
 
-def _resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``nodes`` (id, kept from history) settled in arrival order: id, state (1 accepted, 2 repeat).
+def _resolve(first: DataFrame, edges: DataFrame) -> DataFrame:
+    """``first`` (id, state: 1 accepted, 2 repeat, 0 open) settled in arrival order: id, state.
 
     Each round settles every open node that matches an accepted one, or all of whose earlier matches are repeats. It reads
     the edges that are still open and the nodes settled in the round before only."""
-    depends = edges.select(F.col("i").alias("id")).distinct().withColumn("_d", F.lit(True))
-    state = F.when(F.col("kept").isNotNull(), 2).when(F.col("_d").isNull(), 1).otherwise(0)
-    first = cut(nodes.select("id", "kept").join(depends, "id", "left").select("id", state.alias("state")), "settled")
-    done = fresh = first.where("state > 0")
+    done = fresh = first.where("state > 0").select("id", "state")
     left = edges.join(first.where("state = 0").select(F.col("id").alias("i")), "i", "left_semi")
     while True:
         step = left.join(fresh.select(F.col("id").alias("j"), "state"), "j", "left")
@@ -173,11 +170,13 @@ def dedup(index: CellIndex, rows: DataFrame, id_column: str = "in_id", batch: st
     rows = cut(vectors(rows, id_column), "batch")
     nodes = cut(_collapsed(rows), "nodes")
     edges = cut(_edges(nodes), "edges")
-    with_kept = cut(nodes.join(index.nearest(nodes, batch), "id", "left"), "nearest")
-    settled = cut(_resolve(with_kept, edges), "states")
+    depends = edges.select(F.col("i").alias("id")).distinct().withColumn("_d", F.lit(True))
+    state = F.when(F.col("kept").isNotNull(), 2).when(F.col("_d").isNull(), 1).otherwise(0)
+    first = cut(nodes.join(index.nearest(nodes, batch), "id", "left").join(depends, "id", "left").withColumn("state", state).drop("_d"), "nearest")
+    settled = _resolve(first, edges)
     accepted = settled.where("state = 1").select("id")
     inside = edges.join(accepted.withColumnRenamed("id", "j"), "j").groupBy(F.col("i").alias("id")).agg(F.min("j").alias("_in"))
-    node_kept = with_kept.join(settled, "id").join(inside, "id", "left").withColumn("_kept", F.when(F.col("state") == 2, F.least("kept", "_in")))
+    node_kept = first.drop("state").join(settled, "id").join(inside, "id", "left").withColumn("_kept", F.when(F.col("state") == 2, F.least("kept", "_in")))
     # Copies of a node that was accepted repeat it; copies of a repeat repeat what it does.
     same = reduce(lambda p, q: p & q, [F.col(f"r.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("key", "us", *NUMBERS)])
     placed = rows.alias("r").join(node_kept.alias("n"), same).select(F.col("r.id").alias("id"), F.col("n.id").alias("node"), F.col("n._kept").alias("kept"))
